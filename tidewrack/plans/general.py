@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.operators import timestamps
+from tidewrack.operators import drift, timestamps
 from tidewrack.session import table
 from tidewrack.sources import jsonlines
 
@@ -25,5 +25,30 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_times(spark, sf_dir).select("source", "record_key", "epoch_us").filter(F.col("epoch_us").isNotNull())
 
 
+#: Columns of the landing record and how each value is made to fit.
+BLUESKY_COLUMNS = {
+    "post_id": "string", "keyword": "string", "text": "string", "author_handle": "string", "author_display_name": "string", "author_did": "did",
+    "lang": "strings", "like_count": "long", "repost_count": "long", "reply_count": "long", "created_at": "string", "indexed_at": "string",
+    "url": "string", "collected_at": "string", "raw": "json",
+}
+
+
+def p4_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each change of a field at each file, with how alike the two fields of a rename are."""
+    return drift.changes(drift.profiles(table(spark, sf_dir, "bluesky_lines"), "file_name", "line"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each change of a field at each file."""
+    return p4_changes(spark, sf_dir).drop("likeness")
+
+
+def p4_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All landing lines as one table under the known names, whatever a file called or typed its fields."""
+    renames = p4_changes(spark, sf_dir).filter("change = 'renamed'").select("field", "new_field").distinct()
+    names = drift.name_groups([(r.field, r.new_field) for r in renames.collect()], list(BLUESKY_COLUMNS))
+    return drift.unified(table(spark, sf_dir, "bluesky_lines"), "file_name", "line", ["file_name", "line_no"], names, BLUESKY_COLUMNS)
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_times": p1_times}
+    return {"p1_found": p1_found, "p1_times": p1_times, "p4_found": p4_found, "p4_changes": p4_changes, "p4_table": p4_table}
