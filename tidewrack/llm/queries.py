@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.llm import gram
-from tidewrack.session import table
+from tidewrack.llm import gram, sketch
+from tidewrack.session import cut, table
 
 #: Problem 2: least rows with both keywords, least share of all rows, least ratio to chance.
 P2_COUNT, P2_SHARE, P2_LIFT = 5, 1 / 1000, 3.0
@@ -23,6 +23,30 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_pairs(spark, sf_dir).filter(F.col("n_ab") * F.col("n") >= F.lit(3) * F.col("n_a") * F.col("n_b")).select("keyword_a", "keyword_b")
 
 
+#: Problems 3 and 6: least similarity of the sets of 4-character substrings, least characters of a normalised text.
+P6_SIMILARITY, P6_CHARS = 0.6, 60
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = table(spark, sf_dir, "posts").select(F.lit("posts").alias("space"), "text", F.col("row_id").alias("key"))
+    return posts.unionByName(table(spark, sf_dir, "insights").select(F.lit("insights").alias("space"), F.col("summary").alias("text"), F.col("insight_no").alias("key")))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of rows of posts, and of insights, with nearly equal text."""
+    df = _texts(spark, sf_dir)
+    pairs = cut(sketch.similar(df, P6_SIMILARITY, P6_CHARS))
+    return sketch.row_pairs(df, pairs, P6_CHARS).select(F.col("space").alias("source"), "key_a", "key_b")
+
+
+def p6_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's class of equal texts and the number of other classes with nearly the same text."""
+    df = _texts(spark, sf_dir)
+    pairs = cut(sketch.similar(df, P6_SIMILARITY, P6_CHARS))
+    links = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("links"))
+    return sketch.members(df, ["space", "key"], P6_CHARS).join(links, "id", "left").select(F.col("space").alias("source"), "key", F.col("id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
 _P2_SQL = r"""
 WITH r AS (SELECT row_id, lower(regexp_replace(k, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS k FROM (SELECT row_id, unnest(matched_keywords) AS k FROM posts)),
 k AS (SELECT DISTINCT row_id, k FROM r WHERE k IS NOT NULL AND k <> ''),
@@ -35,7 +59,7 @@ f AS (SELECT keyword_a, keyword_b, x.c AS n_a, y.c AS n_b, n_ab, n.n AS n, round
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_pairs": p2_pairs}
+    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p6_found": p6_found, "p6_links": p6_links}
 
 
 def oracle_sql() -> dict[str, str]:
