@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.llm import gram, sketch
+from tidewrack.llm import dedup, gram, sketch
 from tidewrack.session import cut, table
 
 #: Problem 2: least rows with both keywords, least share of all rows, least ratio to chance.
@@ -32,6 +32,13 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.unionByName(table(spark, sf_dir, "insights").select(F.lit("insights").alias("space"), F.col("summary").alias("text"), F.col("insight_no").alias("key")))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of posts that repeat an item or a text of an earlier row, each with the first row of its set."""
+    posts = table(spark, sf_dir, "posts")
+    df = posts.select("row_id", dedup.item_of(F.col("platform"), F.col("native_id"), F.col("id")).alias("item"), "text")
+    return dedup.repeats(df, P6_SIMILARITY, P6_CHARS)
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of rows of posts, and of insights, with nearly equal text."""
     df = _texts(spark, sf_dir)
@@ -59,7 +66,7 @@ f AS (SELECT keyword_a, keyword_b, x.c AS n_a, y.c AS n_b, n_ab, n.n AS n, round
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p6_found": p6_found, "p6_links": p6_links}
+    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p6_found": p6_found, "p6_links": p6_links}
 
 
 def oracle_sql() -> dict[str, str]:
