@@ -83,17 +83,16 @@ def within_bound(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
 
 def near_pairs(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
     """(a, b): pairs of classes whose pivots allow it and whose texts are similar; held: (id, text, pivots)."""
-    side = lambda k: held.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}"), F.col("pivots").alias(f"pivots_{k}"))
+    side = lambda k: held.select(F.col("id").alias(k), F.col("pivots").alias(f"pivots_{k}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             p, q = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint16).reshape(-1, PIVOTS) for k in ("pivots_a", "pivots_b"))
-            at = np.flatnonzero(within_bound(p, q, least))
-            xs, ys = b.column("text_a").take(pa.array(at)).to_pylist(), b.column("text_b").take(pa.array(at)).to_pylist()
-            ok = pa.array([i for i, x, y in zip(at, xs, ys, strict=True) if sketch.jaccard(sketch.shingles(x), sketch.shingles(y)) >= least], pa.int64())
+            ok = pa.array(np.flatnonzero(within_bound(p, q, least)), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("a").take(ok), b.column("b").take(ok)], ["a", "b"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b", "pivots_a", "pivots_b").mapInArrow(run, "a bigint, b bigint")
+    close = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "pivots_a", "pivots_b").mapInArrow(run, "a bigint, b bigint")
+    return sketch.exact(close, held, least).select("a", "b")
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
@@ -138,10 +137,7 @@ def repeats(df: DataFrame, least: float = 0.6, min_chars: int = 60) -> DataFrame
     """The refused rows of a whole table whose rows came in order of row_id; df: (row_id, item, text)."""
     space = df.withColumn("space", F.lit(""))
     pairs = cut(sketch.candidates(space, min_chars))
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    few = wanted.count() <= sketch._BROADCAST_ROWS
-    held = sketch.texts(space, min_chars).join(F.broadcast(wanted) if few else wanted, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
-    near = cut(near_pairs(pairs, cut(with_pivots(held)), least))
+    near = cut(near_pairs(pairs, cut(with_pivots(sketch.wanted_texts(pairs, space, min_chars))), least))
     return refused(_rows(space, min_chars), near)
 
 

@@ -5,7 +5,8 @@
    with probability J ** RUN. About KEYS runs are kept per text, chosen by the key's own hash, so both texts of a pair choose alike. Single
    values would make lists that grow with every common phrase; runs keep lists short. Sets of up to SMALL values list every value as well.
 3. Filter: a 128-bit signature goes with each entry, one bit of the smallest hash in each of 128 ranges of the hash (a sketch of the union's
-   minima): bits agree with probability (1 + J) / 2. Pairs of one list that agree too rarely are dropped inside the list.
+   minima): bits agree with probability (1 + J) / 2. Pairs of one list that agree too rarely are dropped inside the list. What is left
+   is filtered by another 256 bits, kept once per text, before any text moves.
 4. The exact Jaccard similarity of the sets decides.
 
 Equal texts are one class throughout (a 64-bit digest), so copies cost nothing after the first step; each task drops repeats before the
@@ -32,6 +33,8 @@ SHINGLE, K, RUN, KEYS, SMALL = 4, 128, 5, 32, 40
 SIGNATURE_BITS = 128
 #: Least number of equal signature bits of a pair; the second for sets of under 128 values, whose bits vary more.
 AGREE, AGREE_SMALL = 90, 80
+#: Bits of the second signature, and the least number that agree: three standard deviations under what a similarity of 0.6 gives.
+SECOND_BITS, SECOND_AGREE = 256, 186
 #: Texts hashed at once, entries of a bucket, pairs compared at once, and rows up to which the set of wanted texts is broadcast.
 _BATCH_CHARS, _BUCKET_ENTRIES, _BLOCK, _BROADCAST_ROWS = 2_000_000, 250_000, 1_000, 400_000
 _EMPTY = np.uint64(2**63)
@@ -81,11 +84,16 @@ def _padded(values: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
     return np.where(np.arange(k) < size[:, None], values[at] if len(values) else _EMPTY, _EMPTY)
 
 
-def signatures(values: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Two 64-bit words per set: a bit of the smallest hash in each range of the hash, of the next range that has one where it is empty."""
-    n, b = len(start) - 1, SIGNATURE_BITS
+def signatures(values: np.ndarray, start: np.ndarray, b: int = SIGNATURE_BITS, salt: int = 0) -> np.ndarray:
+    """b / 64 words per set: a bit of the smallest hash in each range of the hash, of the next range that has one where it is empty.
+    salt: other than 0 for hashes in another order than that of the values."""
+    n = len(start) - 1
     doc = np.repeat(np.arange(n), np.diff(start))
-    slot = doc * b + (values >> np.uint64(41)).astype(np.int64)
+    if salt:
+        key = (doc.astype(np.uint64) << np.uint64(48)) | (mix(values + np.uint64(salt)) >> np.uint64(16))
+        key.sort()
+        values = key & np.uint64(2**48 - 1)
+    slot = doc * b + (values >> np.uint64(49 - b.bit_length())).astype(np.int64)
     first = np.concatenate([[True], slot[1:] != slot[:-1]]) if len(slot) else np.zeros(0, bool)
     used, bit = slot[first], (mix(values[first]) & np.uint64(1)).astype(np.uint8)
     want = np.arange(n * b)
@@ -253,34 +261,52 @@ def jaccard(a: set, b: set) -> float:
     return both / (len(a) + len(b) - both) if a or b else 0.0
 
 
-def verified(pairs: DataFrame, df: DataFrame, least: float, min_chars: int) -> DataFrame:
-    """(a, b, similarity) of the pairs of digests whose texts' exact similarity is at least least."""
-    pairs = cut(pairs)
+def wanted_texts(pairs: DataFrame, df: DataFrame, min_chars: int) -> DataFrame:
+    """(id, text) of the classes in the pairs (a, b)."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     few = wanted.count() <= _BROADCAST_ROWS
-    held = texts(df, min_chars).join(F.broadcast(wanted) if few else wanted, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
-    both = pairs.join(held.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(held.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    return texts(df, min_chars).join(F.broadcast(wanted) if few else wanted, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+
+
+def with_signatures(held: DataFrame) -> DataFrame:
+    """held (id, text) with the words s0, s1, ... of the second signature."""
+    words = SECOND_BITS // 64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [signatures(*shingle_sets(part), SECOND_BITS, 11) for part in _groups(b.column(1).to_pylist(), _BATCH_CHARS, len)]
+            sig = np.concatenate(out).view(np.int64) if out else np.zeros((0, words), np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(sig[:, i]) for i in range(words))], ["id", "text", *(f"s{i}" for i in range(words))])
+
+    return held.select("id", "text").mapInArrow(run, "id bigint, text string, " + ", ".join(f"s{i} bigint" for i in range(words)))
+
+
+def exact(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
+    """(a, b, similarity) of the pairs whose texts' exact similarity is at least least; held: (id, text)."""
+    side = lambda k: held.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            a_ids, b_ids, xs, ys = (c.to_pylist() for c in b.columns)
             out = ([], [], [])
-            known: dict[int, set] = {}
-            for i, j, x, y in zip(a_ids, b_ids, xs, ys, strict=True):
-                if len(known) > 5000:
-                    known.clear()
-                p, q = (known.get(k) or known.setdefault(k, shingles(t)) for k, t in ((i, x), (j, y)))
+            for i, j, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                p, q = shingles(x), shingles(y)
                 if min(len(p), len(q)) >= least * max(len(p), len(q)) and (s := jaccard(p, q)) >= least:
                     for o, v in zip(out, (i, j, s), strict=True):
                         o.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["a", "b", "similarity"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, similarity double")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
 def similar(df: DataFrame, least: float = 0.6, min_chars: int = 60) -> DataFrame:
     """(a, b, similarity): all pairs of different texts of a space with a similarity of at least least; df: (space, text)."""
-    return verified(candidates(df, min_chars), df, least, min_chars)
+    pairs = cut(candidates(df, min_chars))
+    held = cut(with_signatures(wanted_texts(pairs, df, min_chars)))
+    words = [f"s{i}" for i in range(SECOND_BITS // 64)]
+    side = lambda k: held.select(F.col("id").alias(k), *(F.col(w).alias(f"{w}_{k}") for w in words))
+    differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words[1:]), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
+    close = pairs.join(side("a"), "a").join(side("b"), "b").filter(differ <= SECOND_BITS - SECOND_AGREE).select("a", "b")
+    return exact(close, held, least)
 
 
 def row_pairs(df: DataFrame, pairs: DataFrame, min_chars: int = 60) -> DataFrame:
