@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.llm import dedup, gram, sketch
+from tidewrack.llm import dedup, gram, neighbours, sketch
 from tidewrack.session import cut, table
 
 #: Problem 2: least rows with both keywords, least share of all rows, least ratio to chance.
@@ -39,6 +39,21 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.repeats(df, P6_SIMILARITY, P6_CHARS)
 
 
+#: Problem 5: neighbours per vector and least cosine.
+P5_K, P5_COSINE = 10, 0.85
+
+
+def p5_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of posts of which at least one is a neighbour of the other, as similar_to edges hold them."""
+    found = neighbours.nearest(table(spark, sf_dir, "insights"), "post_id", "embedding", "embedding_model", P5_K, P5_COSINE)
+    return neighbours.pairs(found).select(F.col("a").alias("post_id_a"), F.col("b").alias("post_id_b"), "cosine")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of posts of which at least one is a neighbour of the other."""
+    return p5_pairs(spark, sf_dir).drop("cosine")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of rows of posts, and of insights, with nearly equal text."""
     df = _texts(spark, sf_dir)
@@ -66,7 +81,7 @@ f AS (SELECT keyword_a, keyword_b, x.c AS n_a, y.c AS n_b, n_ab, n.n AS n, round
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p6_found": p6_found, "p6_links": p6_links}
+    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links}
 
 
 def oracle_sql() -> dict[str, str]:
