@@ -32,7 +32,7 @@ from tidewrack.session import cut
 SHINGLE, K, RUN, KEYS, SMALL = 4, 128, 5, 32, 40
 SIGNATURE_BITS = 128
 #: Least number of equal signature bits of a pair; the second for sets of under 128 values, whose bits vary more.
-AGREE, AGREE_SMALL = 90, 80
+AGREE, AGREE_SMALL = 94, 86
 #: Bits of the second signature, and the least number that agree: three standard deviations under what a similarity of 0.6 gives.
 SECOND_BITS, SECOND_AGREE = 256, 186
 #: Texts hashed at once, entries of a bucket, pairs compared at once, and rows up to which the set of wanted texts is broadcast.
