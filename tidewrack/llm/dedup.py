@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tidewrack.llm import sketch
 from tidewrack.session import cut
 
-PIVOTS = 128
+PIVOTS, OVER = 128, 255
 
 
 def item_of(platform: Column, native_id: Column, row_key: Column) -> Column:
@@ -54,13 +54,13 @@ def item_of(platform: Column, native_id: Column, row_key: Column) -> Column:
 
 
 def pivot_counts(texts: list[str]) -> list[bytes]:
-    """Per text the number of its distinct substrings in each pivot, two bytes each."""
+    """Per text the number of its distinct substrings in each pivot, a byte each."""
     out = []
     for part in sketch._groups(texts, sketch._BATCH_CHARS, len):
         values, start = sketch.shingle_sets(part)
         doc = np.repeat(np.arange(len(part)), np.diff(start))
         c = np.bincount(doc * PIVOTS + (values % np.uint64(PIVOTS)).astype(np.int64), minlength=len(part) * PIVOTS)
-        out += [x.tobytes() for x in np.minimum(c, 65535).astype(np.uint16).reshape(-1, PIVOTS)]
+        out += [x.tobytes() for x in np.minimum(c, OVER).astype(np.uint8).reshape(-1, PIVOTS)]
     return out
 
 
@@ -75,10 +75,10 @@ def with_pivots(texts: DataFrame) -> DataFrame:
 
 
 def within_bound(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
-    """Which pairs of rows of pivot counts can have a similarity of at least least. Counts that overflowed two bytes make the pair pass."""
+    """Which pairs of rows of pivot counts can have a similarity of at least least. Counts of OVER and more make the pair pass."""
     x, y = x.astype(np.int64), y.astype(np.int64)
     bound = np.abs(x - y).sum(axis=1)
-    return (bound <= (1 - least) / (1 + least) * (x + y).sum(axis=1) + 1e-9) | (x == 65535).any(axis=1) | (y == 65535).any(axis=1)
+    return (bound <= (1 - least) / (1 + least) * (x + y).sum(axis=1) + 1e-9) | (x == OVER).any(axis=1) | (y == OVER).any(axis=1)
 
 
 def near_pairs(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
@@ -87,7 +87,7 @@ def near_pairs(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p, q = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint16).reshape(-1, PIVOTS) for k in ("pivots_a", "pivots_b"))
+            p, q = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, PIVOTS) for k in ("pivots_a", "pivots_b"))
             ok = pa.array(np.flatnonzero(within_bound(p, q, least)), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("a").take(ok), b.column("b").take(ok)], ["a", "b"])
 
