@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.llm import dedup, gram, neighbours, sketch
+from tidewrack.llm import dedup, gram, leaks, neighbours, sketch
 from tidewrack.session import cut, table
 
 #: Problem 2: least rows with both keywords, least share of all rows, least ratio to chance.
@@ -69,6 +69,22 @@ def p6_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.members(df, ["space", "key"], P6_CHARS).join(links, "id", "left").select(F.col("space").alias("source"), "key", F.col("id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
+#: Problem 9: largest edit distance at which a whole item counts as present in p9_near.
+P9_EDITS = 40
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the evaluation items they share a passage with."""
+    got = leaks.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "item_text")
+    return got.filter(F.col("shared") >= leaks.MIN_COMMON).select("doc_id", "item_id")
+
+
+def p9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a whole item with few edits, with the edit distance."""
+    got = leaks.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "item_text", P9_EDITS)
+    return got.filter("edits IS NOT NULL").select("doc_id", "item_id", "edits")
+
+
 _P2_SQL = r"""
 WITH r AS (SELECT row_id, lower(regexp_replace(k, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS k FROM (SELECT row_id, unnest(matched_keywords) AS k FROM posts)),
 k AS (SELECT DISTINCT row_id, k FROM r WHERE k IS NOT NULL AND k <> ''),
@@ -81,7 +97,7 @@ f AS (SELECT keyword_a, keyword_b, x.c AS n_a, y.c AS n_b, n_ab, n.n AS n, round
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links}
+    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p9_found": p9_found, "p9_near": p9_near}
 
 
 def oracle_sql() -> dict[str, str]:
