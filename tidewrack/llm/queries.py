@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.llm import dedup, gram, leaks, neighbours, sketch
+from tidewrack.llm import dedup, gram, leaks, neighbours, sketch, truncation
 from tidewrack.session import cut, table
 
 #: Problem 2: least rows with both keywords, least share of all rows, least ratio to chance.
@@ -85,6 +85,26 @@ def p9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.filter("edits IS NOT NULL").select("doc_id", "item_id", "edits")
 
 
+#: Problem 10: a document counts as cut from this score on.
+P10_SCORE = 0.5
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the probability that its text was cut."""
+    return truncation.scores(table(spark, sf_dir, "documents"), "doc_id", "source", "text").select(F.col("key").alias("doc_id"), "source", "cut_score")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text was cut."""
+    return p10_scores(spark, sf_dir).filter(F.col("cut_score") >= P10_SCORE).select("doc_id")
+
+
+def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents of each source are cut, and their share."""
+    cut_n = F.count_if(F.col("cut_score") >= P10_SCORE)
+    return p10_scores(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), cut_n.alias("cut"), (cut_n / F.count("*")).alias("share"))
+
+
 _P2_SQL = r"""
 WITH r AS (SELECT row_id, lower(regexp_replace(k, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS k FROM (SELECT row_id, unnest(matched_keywords) AS k FROM posts)),
 k AS (SELECT DISTINCT row_id, k FROM r WHERE k IS NOT NULL AND k <> ''),
@@ -97,7 +117,7 @@ f AS (SELECT keyword_a, keyword_b, x.c AS n_a, y.c AS n_b, n_ab, n.n AS n, round
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p9_found": p9_found, "p9_near": p9_near}
+    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p9_found": p9_found, "p9_near": p9_near, "p10_found": p10_found, "p10_scores": p10_scores, "p10_sources": p10_sources}
 
 
 def oracle_sql() -> dict[str, str]:
