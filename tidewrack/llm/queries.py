@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.llm import dedup, gram, leaks, neighbours, sketch, truncation
+from tidewrack.llm import dedup, gram, language, leaks, neighbours, sketch, truncation
 from tidewrack.session import cut, table
 
 #: Problem 2: least rows with both keywords, least share of all rows, least ratio to chance.
@@ -69,6 +69,27 @@ def p6_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.members(df, ["space", "key"], P6_CHARS).join(links, "id", "left").select(F.col("space").alias("source"), "key", F.col("id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
+def p7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each post's languages, with the number of sentences and the confidence of each."""
+    model = language.model_of(table(spark, sf_dir, "lang_samples"), "lang", "sample_text")
+    return language.languages(table(spark, sf_dir, "posts"), "row_id", "text", model).withColumnRenamed("key", "row_id")
+
+
+def p7_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each whole sentence of each post with its language and confidence."""
+    model = language.model_of(table(spark, sf_dir, "lang_samples"), "lang", "sample_text")
+    return language.segments(table(spark, sf_dir, "posts"), "row_id", "text", model).withColumnRenamed("key", "row_id")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of posts that their label doesn't name."""
+    model = language.model_of(table(spark, sf_dir, "lang_samples"), "lang", "sample_text")
+    posts = table(spark, sf_dir, "posts")
+    label = F.lower(F.regexp_extract("lang", r"^[\s\p{Z}]*([A-Za-z]{2})(?:[-_][A-Za-z0-9_-]*)?[\s\p{Z}]*$", 1))
+    df = posts.select(F.struct("row_id", F.coalesce(label, F.lit("")).alias("label")).alias("key"), "text")
+    return language.languages(df, "key", "text", model).filter(F.col("lang") != F.col("key.label")).select("key.row_id", "lang")
+
+
 #: Problem 9: largest edit distance at which a whole item counts as present in p9_near.
 P9_EDITS = 40
 
@@ -117,7 +138,7 @@ f AS (SELECT keyword_a, keyword_b, x.c AS n_a, y.c AS n_b, n_ab, n.n AS n, round
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p9_found": p9_found, "p9_near": p9_near, "p10_found": p10_found, "p10_scores": p10_scores, "p10_sources": p10_sources}
+    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p7_found": p7_found, "p7_languages": p7_languages, "p7_segments": p7_segments, "p9_found": p9_found, "p9_near": p9_near, "p10_found": p10_found, "p10_scores": p10_scores, "p10_sources": p10_sources}
 
 
 def oracle_sql() -> dict[str, str]:

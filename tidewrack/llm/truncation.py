@@ -68,7 +68,7 @@ def shape(s: str) -> str:
 
 
 def features(text: str, at_limit: bool | None) -> list[int]:
-    """Hashed features of a text, the last two those of the limit (none of them if that is None); none for a text without sentences."""
+    """Hashed features of a text, the last that of the limit (left out if that is None); none for a text without sentences."""
     s = core(text)
     mark = _MARK.search(s)
     body = (s[: mark.start()] if mark else s).rstrip()
@@ -76,7 +76,7 @@ def features(text: str, at_limit: bool | None) -> list[int]:
     if not any(c.isalpha() for c in body):
         return []
     bare = body.rstrip(_CLOSERS + " \u00a0\u202f")
-    last = bare[-40:].split()[-1] if bare[-40:].split() else ""
+    last = re.search(r"[!-~]*$", bare[-200:]).group() or bare[-4:]
     after = _FINISHED.split(s[-400:] + " ")
     rest = next((x.strip() for x in reversed(after) if x and x.strip()), "")
     tail = _FINISHED.split(bare[-400:])[-1].strip()
@@ -90,7 +90,7 @@ def features(text: str, at_limit: bool | None) -> list[int]:
     if end == ".":
         f += [f"p{re.sub(r'9+', '9', re.sub(r'[aA]+', 'a', sh))}{len(last) > 18}"] * 2
     if at_limit is not None:
-        f += [f"l{at_limit}", f"l{at_limit}{end}"]
+        f.append(f"l{at_limit}{end}")
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BITS for x in f]
 
 
@@ -109,7 +109,8 @@ def training_rows(text: str, at_limit: bool, seed: int) -> Iterator[tuple[int, l
         cut = s[:at]
         body = cut.rstrip(_CLOSERS + " \n\r\t\u00a0\u202f")
         inside = body.endswith(".") and at < len(s) and body == cut and s[at].isalnum()
-        if not body or body[-1] in _END and not inside:
+        # a cut inside what core() takes off leaves the sentence before it whole
+        if not body or core(cut) != cut.rstrip() or body[-1] in _END and not inside:
             continue
         mark = rng.choice(("", "", "", "…", "...", " [more]", "�"))
         f = features(cut + mark, None)
@@ -142,8 +143,8 @@ def fit(labels: np.ndarray, rows: list[list[int]], epochs: int = EPOCHS, rate: f
 def fit_twice(labels: np.ndarray, rows: list[list[int]]) -> np.ndarray:
     """Weights from the training rows: first without the features of the limit, then, with them, after the documents that the first
     weights call cut have changed class."""
-    w = fit(labels, [r if y else r[:-2] for y, r in zip(labels, rows, strict=True)])
-    cut = np.array([bool(y) or w[r[:-2]].sum() + w[BITS] > 0 for y, r in zip(labels, rows, strict=True)])
+    w = fit(labels, [r if y else r[:-1] for y, r in zip(labels, rows, strict=True)])
+    cut = np.array([bool(y) or w[r[:-1]].sum() + w[BITS] > 0 for y, r in zip(labels, rows, strict=True)])
     return fit(cut.astype(np.int64), rows)
 
 
