@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.llm import dedup, gram, language, leaks, neighbours, sketch, truncation
+from tidewrack.llm import dedup, gram, language, leaks, neighbours, packing, sketch, truncation
 from tidewrack.session import cut, table
 
 #: Problem 2: least rows with both keywords, least share of all rows, least ratio to chance.
@@ -90,6 +90,29 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(df, "key", "text", model).filter(F.col("lang") != F.col("key.label")).select("key.row_id", "lang")
 
 
+#: Problem 8: the capacity where none is asked for.
+P8_CAPACITY = 2048
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's pieces (one, unless it exceeds the capacity) and their containers."""
+    got = packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", P8_CAPACITY)
+    return got.select(F.col("key").alias("doc_id"), "piece", "tokens", F.col("container").alias("container_id"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per kind of container how many are used, the tokens in them and the share of their room that is filled."""
+    sized = cut(packing.measured(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    kinds = table(spark, sf_dir, "container_spec").collect()  # a few rows of a fixed table
+    out = None
+    for k in sorted(kinds, key=lambda r: r["capacity_tokens"]):
+        capacity = k["capacity_tokens"]
+        one = packing.packed(sized, capacity).agg(F.count_distinct("container").alias("containers"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
+        one = one.select(F.lit(k["container_kind"]).alias("container_kind"), F.lit(capacity).alias("capacity_tokens"), "containers", "tokens", F.try_divide(F.col("tokens"), F.col("containers") * capacity).alias("filled"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 #: Problem 9: largest edit distance at which a whole item counts as present in p9_near.
 P9_EDITS = 40
 
@@ -138,7 +161,7 @@ f AS (SELECT keyword_a, keyword_b, x.c AS n_a, y.c AS n_b, n_ab, n.n AS n, round
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p7_found": p7_found, "p7_languages": p7_languages, "p7_segments": p7_segments, "p9_found": p9_found, "p9_near": p9_near, "p10_found": p10_found, "p10_scores": p10_scores, "p10_sources": p10_sources}
+    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p7_found": p7_found, "p7_languages": p7_languages, "p7_segments": p7_segments, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_near": p9_near, "p10_found": p10_found, "p10_scores": p10_scores, "p10_sources": p10_sources}
 
 
 def oracle_sql() -> dict[str, str]:
