@@ -1 +1 @@
-
+"""Column builders: expressions that stay in the JVM."""

@@ -1 +1 @@
-
+"""Operators: DataFrame in, DataFrame out; time and parameters are arguments."""
