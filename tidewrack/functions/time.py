@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: ISO 8601 as landing records hold it: year, month, day, hour, minute, second, fraction, offset.
-ISO = r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(Z|[+-]\d{2}:?(?:\d{2})?)?$"
+ISO = r"^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(Z|[+-]\d{2}:?(?:\d{2})?)?\z"
 
 
 def iso_utc(c: Column) -> Column:

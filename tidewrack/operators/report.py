@@ -71,7 +71,7 @@ def top_keyword_pairs(posts: DataFrame, since: datetime, until: datetime, n: int
 
 def mentions(both: DataFrame) -> DataFrame:
     """One row per product named, trimmed, blanks left out; a name twice in a list counts twice."""
-    return both.withColumn("product", space_trim(F.explode("competitors"))).filter(F.length("product") > 0)
+    return both.withColumn("product", F.explode("competitors")).withColumn("product", space_trim(F.col("product"))).filter(F.length("product") > 0)
 
 
 def new_competitors(both: DataFrame, since: datetime, until: datetime) -> DataFrame:

@@ -20,20 +20,20 @@ def _union_of(lists: Column) -> Column:
 
 def upsert_posts(existing: DataFrame | None, incoming: DataFrame, seq: str) -> DataFrame:
     """Posts by id: the last incoming row gives the normalised columns, the first known row the platform, the identifier and the status,
-    and keywords are the union of all. Null ids are left out. incoming: the columns of posts and seq.
+    and keywords are the union of all. Null ids are left out. incoming: the columns of posts and seq
+    (any type that sorts).
 
     One shuffle by id. Keywords are collected as distinct values, so repeats of a hot id are combined before the shuffle and its group
     holds its keywords, not its rows.
     """
-    s = F.col(seq).cast("bigint") + 1
     columns = ["id", *POST_COLUMNS, *_KEPT, "matched_keywords"]
-    rows = incoming.select(*columns, s.alias("_seq"))
+    rows = incoming.select(*columns, F.col(seq).alias("_seq"))
     if existing is not None:
-        rows = existing.select(*columns, F.lit(-1).cast("bigint").alias("_seq")).unionByName(rows)
+        rows = existing.select(*columns, F.lit(None).cast(incoming.schema[seq].dataType).alias("_seq")).unionByName(rows)
     rows = rows.filter(F.col("id").isNotNull())
-    last = F.max_by(F.struct(*POST_COLUMNS), "_seq")
-    # statuses of stored rows survive; new rows start as they come
-    first = F.min_by(F.struct(*_KEPT), "_seq")
+    # a stored row has no sequence: it comes before all others
+    order = F.struct(F.col("_seq").isNotNull(), "_seq")
+    last, first = F.max_by(F.struct(*POST_COLUMNS), order), F.min_by(F.struct(*_KEPT), order)
     words = rows.select("id", F.explode("matched_keywords").alias("k")).groupBy("id").agg(F.array_sort(F.collect_set("k")).alias("matched_keywords"))
     one = rows.groupBy("id").agg(last.alias("l"), first.alias("f")).join(words, "id", "left")
     return one.select("id", "f.platform", "f.native_id", *(F.col(f"l.{c}").alias(c) for c in POST_COLUMNS), F.coalesce("matched_keywords", F.array().cast("array<string>")).alias("matched_keywords"), "f.extraction_status")

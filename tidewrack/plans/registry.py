@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewrack.plans import general
+from tidewrack.plans import general, reference
 
-MODULES = (general,)
+MODULES = (reference, general)
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["p1_found"](spark, sf_dir)
+    return queries()["edges_cooccurs"](spark, sf_dir)
 
 
 def queries() -> dict:
