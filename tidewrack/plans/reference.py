@@ -471,6 +471,57 @@ def overview(spark, sf):
     return telemetry.overview(table(spark, sf, "posts"), events_of(spark, sf))
 
 
+# collector logs, written from the posts: a run per batch and platform, finished unless the batch is the fourth
+
+
+def logs_of(spark, sf):
+    words = table(spark, sf, "posts").filter("platform IS NOT NULL").select("platform", "load_batch", "row_id", F.explode(F.array_distinct(F.array_compact("matched_keywords"))).alias("k"))
+    words = words.filter(~F.col("k").rlike(r"[\]\s]$|^\s*$|^\s"))
+    counts = words.groupBy("platform", "load_batch", "k").agg(F.count("*").alias("n"), F.count_if(F.col("row_id") % 3 == 0).alias("a"))
+    result = F.format_string("[%s:%s] 取得: %d件 / 新規: %d件 / スキップ: %d件", "platform", "k", "n", "a", F.col("n") - F.col("a"))
+    runs = counts.groupBy("platform", "load_batch").agg(F.array_sort(F.collect_list(result)).alias("r"))
+    stamp = F.format_string("[2026-08-03 %02d:00:00] ", "load_batch")
+    body = F.concat_ws("\n", F.concat(stamp, F.lit("start: "), "platform"), F.array_join("r", "\n"), F.lit("saved"), F.lit(""), F.when(F.col("load_batch") != 3, F.concat(stamp, F.lit("done: "), "platform")))
+    files = runs.groupBy("platform").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("load_batch", body.alias("t")))), lambda x: x["t"]), "\n").alias("text"))
+    return files.select(F.concat(F.lit("/logs/"), "platform", F.lit(".log")).alias("file"), "text")
+
+
+_LOG = "WITH w AS (SELECT DISTINCT platform, load_batch, row_id, k FROM (SELECT platform, load_batch, row_id, unnest(matched_keywords) AS k FROM posts WHERE platform IS NOT NULL) WHERE NOT regexp_matches(k, '[\\]\\s]$|^\\s*$|^\\s')), c AS (SELECT platform, load_batch, k, count(*) AS n, count(*) FILTER (row_id % 3 = 0) AS a FROM w GROUP BY 1, 2, 3), "
+_RUNS = "r AS (SELECT '/logs/' || platform || '.log' AS file, CAST(row_number() OVER (PARTITION BY platform ORDER BY load_batch) AS BIGINT) AS run_no, CAST(sum(n) AS BIGINT) AS fetched, CAST(sum(a) AS BIGINT) AS added, load_batch <> 3 AS finished FROM c GROUP BY platform, load_batch) "
+
+
+@_query("log_runs", _LOG + _RUNS + "SELECT * FROM r")
+def log_runs(spark, sf):
+    runs = telemetry.log_runs(telemetry.log_lines(logs_of(spark, sf)))
+    return runs.select("file", "run_no", "fetched", "added", "finished")
+
+
+@_query("log_totals", _LOG + _RUNS + "SELECT file, count(*) AS runs, CAST(sum(fetched) AS BIGINT) AS total_fetched, CAST(sum(added) AS BIGINT) AS total_added, count(*) FILTER (NOT finished) AS unfinished FROM r GROUP BY 1")
+def log_totals(spark, sf):
+    return telemetry.log_totals(telemetry.log_runs(telemetry.log_lines(logs_of(spark, sf))))
+
+
+@_query("log_display", _LOG + _RUNS + "SELECT file, run_no, true AS truncated FROM r QUALIFY row_number() OVER (PARTITION BY file ORDER BY run_no DESC) <= 5")
+def log_display(spark, sf):
+    return telemetry.display_runs(telemetry.log_runs(telemetry.log_lines(logs_of(spark, sf))), 5).select("file", "run_no", "truncated")
+
+
+@_query("keyword_summary", _LOG + "SELECT platform FROM c LIMIT 0")
+def keyword_summary(spark, sf):
+    return telemetry.keyword_summary(telemetry.log_results(telemetry.log_lines(logs_of(spark, sf))))
+
+
+_SQL["keyword_summary"] = _LOG[: _LOG.rindex(", ")] + " SELECT platform, k AS keyword, CAST(sum(n) AS BIGINT) AS fetched, CAST(sum(a) AS BIGINT) AS added, count(*) AS runs FROM c GROUP BY 1, 2"
+
+
+@_query("thread_topn", "WITH t AS (SELECT event_id, event_type, CASE event_type WHEN 'view' THEN 'hiring' WHEN 'click' THEN 'freelancer' WHEN 'error' THEN 'hired' END AS kind, ts FROM events) SELECT CAST(event_id AS VARCHAR) AS thread_id, kind FROM t WHERE kind IN ('hiring', 'freelancer') QUALIFY row_number() OVER (PARTITION BY kind ORDER BY strftime(ts, '%Y-%m-%d') DESC, event_id) <= 3")
+def thread_topn(spark, sf):
+    """The newest three threads per kind, with events as threads."""
+    title = F.when(F.col("event_type") == "view", "Ask HN: Who is hiring? (x)").when(F.col("event_type") == "click", "Ask HN: Freelancer? Seeking freelancer? (x)").when(F.col("event_type") == "error", "Ask HN: Who wants to be hired? (x)").otherwise("other")
+    threads = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("thread_id"), title.alias("title"), F.date_format("ts", "yyyy-MM-dd").alias("created_at"), F.lit(0).alias("author_no"), F.col("event_id").alias("position"))
+    return normalize.select_threads(threads, ["hiring", "freelancer"], 3).select("thread_id", "kind")
+
+
 _LINE_KEY = "regexp_replace(regexp_replace(regexp_replace(line, '^\\s*[-*>#]+\\s*', ''), '[`*_、。，．,.:：]', '', 'g'), '\\s', '', 'g')"
 _LINES = "l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents WHERE text IS NOT NULL)"
 
