@@ -1,0 +1 @@
+from tests.conftest import data, spark  # noqa: F401

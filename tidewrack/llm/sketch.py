@@ -195,8 +195,8 @@ def list_pairs(x: np.ndarray) -> np.ndarray:
     middle = (size > 1) & (size <= _BLOCK)
     s, n = start[middle], size[middle]
     load = np.cumsum(n * (n - 1) // 2)
-    cuts = np.searchsorted(load, np.arange(0, load[-1] if len(load) else 0, 2_000_000)) if len(load) else []
-    for lo, hi in zip(cuts, [*cuts[1:], len(s)], strict=True):
+    cuts = [*np.searchsorted(load, np.arange(0, load[-1], 2_000_000)), len(s)] if len(load) else []
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
         m = n[lo:hi]
         first = np.concatenate([np.arange(a, a + c) for a, c in zip(s[lo:hi], m, strict=True)]) if hi > lo else np.zeros(0, np.int64)
         rest = np.repeat(s[lo:hi] + m, m) - first - 1
