@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,11 +26,28 @@ def build(app: str = "tidewrack", master: str | None = None, **conf: str) -> Spa
         b = b.master(master)
     for k, v in (CONF | conf).items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once per context: they needn't have it installed. The driver serves the file."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewrack_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tidewrack-")) / "tidewrack.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path("tidewrack") / f.relative_to(root))
+    context.addPyFile(str(target))
+    context._tidewrack_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder, a Parquet file or a folder of them."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
