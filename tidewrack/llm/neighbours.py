@@ -2,7 +2,7 @@
 
 Vectors are scaled to length one and rotated by a fixed random rotation. Centroids (one per square root of the number of vectors) are fitted
 on a bounded sample of FIT vectors per model; every vector is put into the list of its nearest centroid and is looked up in the lists of
-its PROBES nearest ones. Inside a list the squared distance of all pairs is added up one block of columns at a time. After each block a
+its PROBES nearest ones, without those whose cosine is more than MARGIN below the best. Inside a list the squared distance of all pairs is added up one block of columns at a time. After each block a
 hypothesis test abandons pairs: by the rotation the part seen so far, scaled up, estimates the whole, and a pair whose estimate exceeds
 the wanted distance by the factor (1 + EPS / sqrt(columns seen)) squared is dropped. What is left has its cosine computed in full.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut
 
-FIT, PROBES, COLUMNS, EPS, BLOCK = 20_000, 5, 16, 2.1, 4096
+FIT, PROBES, MARGIN, COLUMNS, EPS, BLOCK = 20_000, 12, 0.1, 16, 2.1, 4096
 _PAIRS = 4_000_000
 
 
@@ -131,7 +131,7 @@ def nearest(df: DataFrame, name: str, vector: str, model: str, k: int = 10, leas
                     cols[3].append(v)
                     if asks is not None:
                         for c in best[r]:
-                            if c != own[r]:
+                            if c != own[r] and near[r, c] >= near[r, own[r]] - MARGIN:
                                 cols[0].append(int(c) + start)
                                 cols[1].append(None)
                                 cols[2].append(asks)
