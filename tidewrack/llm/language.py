@@ -1,6 +1,6 @@
 """The language of each sentence of a text, with a confidence.
 
-Averaged hashed subword embeddings with a linear softmax: each substring of 2, 3 and 4 characters of a sentence (letters only, lower case,
+Averaged hashed subword embeddings with a linear softmax: each substring of 3, 4 and 5 characters of a sentence (letters only, lower case,
 words apart) has an embedding in a table of BUCKETS rows, the sentence has their average, and a linear layer with softmax gives the
 languages. Table and layer are trained by stochastic gradient descent on labelled sentences (at most FIT of them). A part is held out to
 set the temperature of the confidence and the least confidence: sentences below it have no language. Since averaging and the layer are
@@ -14,6 +14,7 @@ small letter in the middle of the text's start), is none. Null and blank texts a
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS, DIM, FIT, EPOCHS, GRAMS = 2**15, 16, 20_000, 30, (2, 3, 4)
+BUCKETS, DIM, FIT, EPOCHS, GRAMS = 2**16, 16, 20_000, 60, (3, 4, 5)
 #: Share of the labelled sentences held out, and the share of held-out sentences that the least confidence may reject.
 HELD_OUT, REJECT = 0.2, 0.002
 #: Fewest letters of a sentence; one outside the Latin script counts twice.
-LETTERS = 8
+LETTERS = 12
 _CHARS = 1_000_000
 
-_DROP = re.compile(r"https?://\S+|(?<!\w)[@#]\w+|\[[^\]\n]{0,40}\](?=\s*$)")
-_SENTENCE = re.compile(r"[^。！？\n]*?(?:[。！？]+|[.!?…]+[\"'”’»)]*(?=\s|$|[぀-ヿ一-鿿]))|[^。！？\n]+")
+_DROP = re.compile(r"https?://\S+|(?<!\w)[@#]\w+|\[[^\]\n]{0,40}\](?=[\s.!?]*$)", re.IGNORECASE)
+_SENTENCE = re.compile(r"[^。！？\n]*?(?:[。！？]+|[.!?…]+[\"'”’»)]*(?=\s+\D|\s*$|[぀-ヿ一-鿿]))|[^。！？\n]+")
 _ENDS = re.compile(r"(?:[。！？]|[.!?][\"'”’»)]*)$")
 _TOKEN = re.compile(r"\S*\d\S*")
 
@@ -49,7 +50,9 @@ def sentences(text: str) -> list[str]:
 
 
 def prepared(sentence: str) -> str:
-    """Letters in lower case, words with digits left out, words apart and framed by spaces."""
+    """NFKC, letters in lower case, words with digits left out, words apart and framed by spaces."""
+    if not sentence.isascii():
+        sentence = unicodedata.normalize("NFKC", sentence)
     s = _TOKEN.sub(lambda m: re.sub(r"[A-Za-z]*[-/.]?[A-Za-z]*\d[A-Za-z0-9_./-]*", " ", m.group()), sentence)
     return " " + " ".join(re.sub(r"[\W\d_]+", " ", s).lower().split()) + " "
 
@@ -104,20 +107,39 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(labelled: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 3) -> Model:
-    """A model from (language, sentence) pairs."""
+    """A model from (language, sentence) pairs: a first fit without the held-out part calibrates, a second on all pairs is what scores."""
+    first = _fit(labelled, epochs, seed, HELD_OUT)
+    whole = _fit(labelled, epochs, seed, 0.0)
+    return Model(whole.languages, whole.table, first.scale, first.least) if first.languages == whole.languages else first
+
+
+def _run_of(text: str, rng: np.random.Generator) -> str:
+    """Some words in a row of a prepared sentence, or some characters where its words are long."""
+    words = text.split()
+    if len(words) < 8:
+        at = int(rng.integers(0, max(1, len(text) // 2)))
+        return text[at : at + max(8, len(text) // 2)]
+    n = int(rng.integers(3, len(words)))
+    at = int(rng.integers(0, len(words) - n + 1))
+    return " " + " ".join(words[at : at + n]) + " "
+
+
+def _fit(labelled: list[tuple[str, str]], epochs: int, seed: int, held_out: float) -> Model:
     labelled = sorted(x for x in labelled if x[0] and x[1])
     languages = sorted({x[0] for x in labelled})
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(labelled))
-    held, fit = order[: int(len(order) * HELD_OUT)], order[int(len(order) * HELD_OUT) :]
+    held, fit = order[: int(len(order) * held_out)], order[int(len(order) * held_out) :]
     texts, y = [prepared(x[1]) for x in labelled], np.array([languages.index(x[0]) for x in labelled])
     e, w = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)), np.zeros((DIM, len(languages)))
     parts = [gram_buckets([t])[0] for t in texts]
     for epoch in range(epochs):
         rate = 0.5 * (1 - epoch / epochs)
         for at in range(0, len(fit), 8):
-            k = rng.permutation(fit)[:8] if epoch == 0 and at == 0 else fit[at : at + 8]
-            ids = [parts[i] if len(parts[i]) else np.zeros(1, np.int32) for i in k]
+            k = fit[at : at + 8]
+            # half of the time a run of words of the sentence, so that each part of it learns to tell the language
+            cuts = [gram_buckets([_run_of(texts[i], rng)])[0] if rng.random() < 0.5 else parts[i] for i in k]
+            ids = [c if len(c) else np.zeros(1, np.int32) for c in cuts]
             mean = np.stack([e[x].mean(axis=0) for x in ids])
             g = _softmax(mean @ w)
             g[np.arange(len(k)), y[k]] -= 1
@@ -132,7 +154,7 @@ def train(labelled: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 3)
     if len(held):
         z = np.stack([table[parts[i]].mean(axis=0)[: len(languages)] if len(parts[i]) else np.zeros(len(languages)) for i in held]).astype(np.float64)
         loss = lambda s: -np.log(np.maximum(_softmax(z * s)[np.arange(len(held)), y[held]], 1e-12)).mean()
-        model.scale = float(min((0.25, 0.5, 0.75, 1, 1.5, 2, 3), key=loss))
+        model.scale = float(min((0.25, 0.5, 0.75, 1, 1.5, 2, 3, 5), key=loss))
         own = np.sort(_softmax(z * model.scale)[np.arange(len(held)), y[held]])
         model.least = float(max(0.5, own[int(len(own) * REJECT)] * 0.8))
     return model
