@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.operators import drift, timestamps
-from tidewrack.session import table
+from tidewrack.session import spread, table
 from tidewrack.sources import jsonlines
 
 
 def p1_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every time text of the four sources with its instant, null where the text names none."""
     zones = timestamps.known_zones(spark)
-    parts = [table(spark, sf_dir, t).select(F.lit(t).alias("source"), F.col(k).cast("string").alias("record_key"), F.col(c).alias("value"), "writer_tz") for t, k, c in (("posts", "row_id", "posted_at"), ("reddit_post", "row_no", "created_at"), ("hackernews_item", "row_no", "created_at"))]
+    parts = [spread(table(spark, sf_dir, t).select(F.lit(t).alias("source"), F.col(k).cast("string").alias("record_key"), F.col(c).alias("value"), "writer_tz")) for t, k, c in (("posts", "row_id", "posted_at"), ("reddit_post", "row_no", "created_at"), ("hackernews_item", "row_no", "created_at"))]
     lines = table(spark, sf_dir, "bluesky_lines").withColumn("record_key", F.concat_ws("#", "file_name", "line_no"))
     lines = jsonlines.field_texts(lines, "line", "created_at", ["record_key", "writer_tz"])
     parts.append(lines.select(F.lit("bluesky_lines").alias("source"), "record_key", "value", "writer_tz"))

@@ -51,6 +51,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores, for costly work on each row: a small table in one file would keep one core
+    busy. Tables of more files than half the cores stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if 2 * df.rdd.getNumPartitions() > cores else df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session; only where that is unset (tests on one machine) a local one."""
     d = spark.conf.get("spark.checkpoint.dir", None)
