@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewrack.llm import sketch
-from tidewrack.session import cut
+from tidewrack.session import cut, spread
 
 PIVOTS, OVER = 128, 255
 
@@ -149,7 +149,7 @@ def _rows(space: DataFrame, min_chars: int) -> DataFrame:
             ids = [None if x is None or len(t := sketch.normalise(x)) < min_chars else sketch.digest(t, "") for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.int64())], ["row_id", "item", "id"])
 
-    return space.select("row_id", "item", "text").mapInArrow(run, "row_id bigint, item string, id bigint")
+    return spread(space.select("row_id", "item", "text")).mapInArrow(run, "row_id bigint, item string, id bigint")
 
 
 class History:

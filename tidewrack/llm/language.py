@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewrack.session import spread
+
 BUCKETS, DIM, FIT, EPOCHS, GRAMS = 2**16, 16, 20_000, 60, (3, 4, 5)
 #: Share of the labelled sentences held out, and the share of held-out sentences that the least confidence may reject.
 HELD_OUT, REJECT = 0.2, 0.002
@@ -183,7 +185,7 @@ def segments(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
             best, conf = _predicted(m, text_out)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(n, pa.int32()), pa.array(text_out, pa.string()), pa.array([m.languages[x] if x >= 0 else None for x in best], pa.string()), pa.array(conf, pa.float64())], ["key", "n", "sentence", "lang", "confidence"])
 
-    return df.select(key, text).mapInArrow(run, f"key {kind}, n int, sentence string, lang string, confidence double")
+    return spread(df.select(key, text)).mapInArrow(run, f"key {kind}, n int, sentence string, lang string, confidence double")
 
 
 def _predicted(m: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -219,4 +221,4 @@ def languages(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
             n, total = np.bincount(at, minlength=len(each)), np.bincount(at, conf[ok], len(each))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(each // len(m.languages), pa.int64())), pa.array([m.languages[x] for x in each % len(m.languages)], pa.string()), pa.array(n, pa.int32()), pa.array(total / np.maximum(n, 1), pa.float64())], ["key", "lang", "sentences", "confidence"])
 
-    return df.select(key, text).mapInArrow(run, f"key {kind}, lang string, sentences int, confidence double")
+    return spread(df.select(key, text)).mapInArrow(run, f"key {kind}, lang string, sentences int, confidence double")

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewrack.session import spread
+
 MIN_COMMON, WINDOW = 50, 25
 STRIDE = MIN_COMMON - WINDOW + 1
 ROUNDS, BITS = 2, 32
@@ -193,4 +195,4 @@ def _part(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
             got = list(_scan(b.column(1).to_pylist(), table, edits))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([g[0] for g in got], pa.int64())), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int32()), pa.array([None if g[3] < 0 else g[3] for g in got], pa.int32())], ["doc_id", "item_id", "shared", "edits"])
 
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, item_id bigint, shared int, edits int")
+    return spread(docs.select(doc_id, text)).mapInArrow(run, f"doc_id {kind}, item_id bigint, shared int, edits int")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewrack.session import cut
+from tidewrack.session import cut, spread
 
 #: The vocabulary file (ranks of byte sequences) is a parameter; this is its usual place. The pattern is the usual one of its kind.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -119,7 +119,7 @@ def measured(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -
             n = [count_tokens(encoding, t) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(hilbert_key(cells(texts, signs)), pa.int64())], ["key", "tokens", "place"])
 
-    return df.select(key, text).filter(F.col(text).isNotNull()).mapInArrow(run, f"key {kind}, tokens bigint, place bigint")
+    return spread(df.select(key, text).filter(F.col(text).isNotNull())).mapInArrow(run, f"key {kind}, tokens bigint, place bigint")
 
 
 class Packer:

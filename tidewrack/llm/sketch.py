@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewrack.session import cut
+from tidewrack.session import cut, spread
 
 SHINGLE, K, RUN, KEYS, SMALL = 4, 128, 5, 32, 40
 SIGNATURE_BITS = 128
@@ -170,7 +170,7 @@ def entries(df: DataFrame, buckets: int, min_chars: int) -> DataFrame:
                 some = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([rows[at[i] : at[i + 1]].tobytes() for i in some], pa.binary())], ["bucket", "entries"])
 
-    return df.select("space", "text").mapInArrow(run, "bucket int, entries binary")
+    return spread(df.select("space", "text")).mapInArrow(run, "bucket int, entries binary")
 
 
 def _agree(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -238,7 +238,7 @@ def texts(df: DataFrame, min_chars: int) -> DataFrame:
                 seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.string())], ["id", "text"])
 
-    return df.select("space", "text").mapInArrow(run, "id bigint, text string")
+    return spread(df.select("space", "text")).mapInArrow(run, "id bigint, text string")
 
 
 def members(df: DataFrame, keep: list[str], min_chars: int) -> DataFrame:
@@ -249,7 +249,7 @@ def members(df: DataFrame, keep: list[str], min_chars: int) -> DataFrame:
             ids = [None if x is None or len(t := normalise(x)) < min_chars else digest(t, s) for s, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(ids, pa.int64())], [*keep, "id"])
 
-    return df.select("space", "text", *keep).mapInArrow(run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", id bigint").filter(F.col("id").isNotNull())
+    return spread(df.select("space", "text", *keep)).mapInArrow(run, ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + ", id bigint").filter(F.col("id").isNotNull())
 
 
 def shingles(text: str) -> set[str]:

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewrack.session import spread
+
 SAMPLE, CUTS, BITS, EPOCHS = 8_000, 3, 2**15, 6
 #: A length is a limit of its source if that many of its texts have it, and this share of them.
 SPIKE, SPIKE_SHARE = 8, 0.04
@@ -160,7 +162,7 @@ def limits(df: DataFrame, source: Column, text: Column) -> DataFrame:
 def scores(df: DataFrame, key: str, source: str, text: str) -> DataFrame:
     """(key, source, cut_score): probability that the text was cut, for every row."""
     spikes = limits(df, F.col(source), F.col(text))
-    rows = df.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text"))
+    rows = spread(df.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text")))
     few = spikes.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS
     near = lambda n, a: F.coalesce(F.exists(a, lambda x: (x - n).between(-1, 3)), F.lit(False))
     rows = rows.join(F.broadcast(spikes) if few else spikes, "source", "left").select("key", "source", "text", (F.coalesce(F.array_contains("at_chars", F.length("text")), F.lit(False)) | near(F.octet_length("text"), "at_bytes")).alias("at_limit"))
