@@ -4,7 +4,7 @@ from zoneinfo import ZoneInfo
 import pytest
 from pyspark.sql import functions as F
 
-from tidewrack.operators.timestamps import epoch_us, known_zones
+from tidewrack.operators.timestamps import known_zones, with_epoch_us
 
 
 def us(*a):
@@ -63,7 +63,7 @@ CASES = [
 
 def test_cases(spark):
     df = spark.createDataFrame([(i, t, z) for i, (t, z, _) in enumerate(CASES)], "i int, t string, z string")
-    got = {r["i"]: r["us"] for r in df.select("i", epoch_us(F.col("t"), F.col("z"), known_zones(spark)).alias("us")).collect()}
+    got = {r["i"]: r["us"] for r in with_epoch_us(df, "t", "z", "us", known_zones(spark)).collect()}
     assert [(t, got[i]) for i, (t, _, _) in enumerate(CASES)] == [(t, w) for t, _, w in CASES]
 
 
@@ -78,7 +78,7 @@ def test_against_python_zones(spark, zone):
         shown.setdefault(t.astimezone(z).replace(tzinfo=None), []).append(t)
         t += timedelta(minutes=30)
     df = spark.createDataFrame([(w.strftime("%Y-%m-%d %H:%M:%S"),) for w in walls], "t string")
-    got = {r["t"]: r["us"] for r in df.select("t", epoch_us(F.col("t"), F.lit(zone), known_zones(spark)).alias("us")).collect()}
+    got = {r["t"]: r["us"] for r in with_epoch_us(df.withColumn("z", F.lit(zone)), "t", "z", "us", known_zones(spark)).collect()}
     for w in walls:
         base = w - timedelta(minutes=7)
         instants = shown.get(base, [])

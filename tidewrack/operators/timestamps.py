@@ -1,7 +1,7 @@
 """Time texts of mixed formats, precisions and zones to one form: microseconds since 1970-01-01 UTC.
 
 An ordered cascade of anchored patterns; the first that matches the whole text decides, and a text that no pattern matches is no time.
-Everything is a column expression (JVM, no Python), one pass over the rows, no shuffle.
+Everything is column expressions (JVM, no Python), one pass over the rows, no shuffle.
 
 Policy: a zone or offset in the text holds. Otherwise the text is a wall clock time of the row's default zone (UTC where that is null).
 Wall clock times that occur twice or never in their zone name no single instant and give null, as do impossible dates, hours over 23,
@@ -12,9 +12,8 @@ blank texts give null. Digits beyond microseconds are dropped.
 from __future__ import annotations
 
 import zoneinfo
-from functools import reduce
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Abbreviations with one usual meaning, in minutes east of UTC. Ambiguous ones (IST, BST) are left out.
@@ -64,13 +63,6 @@ def _group_order(pattern: str) -> list[str]:
     return re.findall(r"\((?:\?<(\w+)>)", pattern)
 
 
-def _fields(text: Column, pattern: str) -> Column:
-    """A struct of all groups, '' where the pattern lacks one or it matched nothing."""
-    have = {g: i + 1 for i, g in enumerate(_group_order(pattern))}
-    whole = f"^{pattern}$"
-    return F.struct(*[(F.regexp_extract(text, whole, have[g]) if g in have else F.lit("")).alias(g) for g in _GROUPS])
-
-
 def _offset_minutes(z: Column) -> Column:
     """Minutes east of UTC of an offset or abbreviation; null if it is neither."""
     digits = F.regexp_replace(F.substring(z, 2, 9), ":", "")
@@ -80,18 +72,16 @@ def _offset_minutes(z: Column) -> Column:
     return F.when(z.rlike(r"^[+-]\d"), F.when((n <= 18 * 60) & (m < 60), F.when(z.startswith("-"), -n).otherwise(n))).otherwise(F.try_element_at(table, F.upper(z)))
 
 
-def _wall_us(f: Column) -> Column:
-    """Microseconds of the wall clock time as if it were UTC; null for impossible ones."""
+def _wall_us(g) -> Column:
+    """Microseconds of the wall clock time as if it were UTC; null for impossible ones. g: group name to column."""
     number = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("0")).try_cast("int")
-    month = F.when(f["mon"] != "", F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(f["mon"])).cast("int")).otherwise(number(f["m"]))
-    h12, h = f["ap"] != "", number(f["h"])
-    hour = F.when(~h12, h).when((h >= 1) & (h <= 12), h % 12 + F.when(F.lower(f["ap"]) == "pm", 12).otherwise(0))
-    ok = (hour <= 23) & (number(f["mi"]) <= 59) & (number(f["s"]) <= 59) & (number(f["y"]) >= 1)
-    day = F.try_make_timestamp(number(f["y"]), month, number(f["d"]), F.lit(0), F.lit(0), F.lit(0).cast("decimal(8,6)"), F.lit("UTC"))
-    us = F.unix_micros(day) + (hour * 3600 + number(f["mi"]) * 60 + number(f["s"])).cast("long") * 1_000_000
-    fraction = F.rpad(F.substring(f["f"], 1, 6), 6, "0").try_cast("long")
-    weekday = (f["wd"] == "") | (F.array_position(F.array(*map(F.lit, WEEKDAYS)), F.lower(f["wd"])) - 1 == F.pmod(F.floor(F.unix_micros(day) / _DAY_US) + 3, F.lit(7)))
-    return F.when(ok & weekday, us + F.coalesce(fraction, F.lit(0)))
+    month = F.when(g("mon") != "", F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(g("mon"))).cast("int")).otherwise(number(g("m")))
+    h = number(g("h"))
+    hour = F.when(g("ap") == "", h).when((h >= 1) & (h <= 12), h % 12 + F.when(F.lower(g("ap")) == "pm", 12).otherwise(0))
+    ok = (hour <= 23) & (number(g("mi")) <= 59) & (number(g("s")) <= 59) & (number(g("y")) >= 1)
+    day = F.try_make_timestamp(number(g("y")), month, number(g("d")), F.lit(0), F.lit(0), F.lit(0).cast("decimal(8,6)"), F.lit("UTC"))
+    fraction = F.rpad(F.substring(g("f"), 1, 6), 6, "0").try_cast("long")
+    return F.when(ok, F.unix_micros(day) + (hour * 3600 + number(g("mi")) * 60 + number(g("s"))).cast("long") * 1_000_000 + F.coalesce(fraction, F.lit(0)))
 
 
 def _local(us: Column, zone: Column) -> Column:
@@ -99,33 +89,45 @@ def _local(us: Column, zone: Column) -> Column:
     return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(us), zone))
 
 
-def _from_zone(wall: Column, zone: Column) -> Column:
-    """The one instant at which the zone's clocks show this time, null if there are two or none.
+def _number_us(t: Column) -> Column:
+    """A bare number in the unit that its size implies."""
+    whole, part = F.regexp_extract(t, f"^{_NUMBER}$", 1), F.regexp_extract(t, f"^{_NUMBER}$", 2)
+    n = whole.try_cast("long")
+    extra = lambda k: F.coalesce(F.rpad(F.substring(part, 1, k), k, "0").try_cast("long"), F.lit(0))
+    return F.when(n < 10**11, n * 1_000_000 + extra(6)).when(n < 10**14, n * 1000 + extra(3)).when(n < 10**17, n).otherwise(F.substring(whole, 1, F.length(whole) - 3).try_cast("long"))
 
-    The offsets in force a day before and a day after are the only ones that can hold; each gives a candidate, which counts if the
-    zone's clock shows the wanted time then.
-    """
-    a, b = wall - (_local(wall - _DAY_US, zone) - (wall - _DAY_US)), wall - (_local(wall + _DAY_US, zone) - (wall + _DAY_US))
-    a_ok, b_ok = _local(a, zone) == wall, _local(b, zone) == wall
-    return F.when(a == b, F.when(a_ok, a)).when(a_ok & b_ok, F.lit(None)).when(a_ok, a).when(b_ok, b)
 
+def with_epoch_us(df: DataFrame, text: str, default_zone: str, out: str, zones: list[str]) -> DataFrame:
+    """df with ``out``: microseconds since 1970 UTC of each text, or null. See the module's text for the rules; zones: names of known regions.
 
-def epoch_us(text: Column, default_zone: Column, zones: list[str]) -> Column:
-    """Microseconds since 1970 UTC of each text, or null. See the module's text for the rules; zones: names of known regions."""
-    t = F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-    hits = reduce(lambda acc, p: acc.when(t.rlike(f"^{p}$"), _fields(t, p)), PATTERNS, F.when(F.lit(False), _fields(t, PATTERNS[0])))
-    whole, part = F.regexp_extract(t, f"^{_NUMBER}$", 1), F.regexp_extract(t, f"^{_NUMBER}$", 2)
-    n = whole.try_cast("long")
-    unit = F.when(n < 10**11, 6).when(n < 10**14, 3).when(n < 10**17, 0)
-    extra = lambda k: F.rpad(F.substring(part, 1, k), k, "0").try_cast("long")
-    number = F.when(unit == 6, n * 1_000_000 + F.coalesce(extra(6), F.lit(0))).when(unit == 3, n * 1000 + F.coalesce(extra(3), F.lit(0))).when(unit == 0, n).otherwise(F.substring(whole, 1, F.length(whole) - 3).try_cast("long"))
-
-    def resolve(f: Column) -> Column:
-        wall, z = _wall_us(f), F.nullif(f["z"], F.lit(""))
-        zone = F.coalesce(F.nullif(f["r"], F.lit("")), default_zone, F.lit("UTC"))
-        safe = F.when(zone.isin(zones), zone)
-        return F.when(z.isNotNull(), wall - _offset_minutes(z).cast("long") * 60_000_000).when(safe.isNotNull(), _from_zone(wall, safe))
-
-    # transform over one array element keeps each parsed field computed once
-    parsed = F.element_at(F.transform(F.array(hits), lambda f: F.when(f.isNotNull(), resolve(f))), 1)
-    return F.when(t.rlike(f"^{_NUMBER}$"), number).otherwise(parsed)
+    Each step is a column of its own, so that nothing is computed twice: which pattern matches, its groups, the wall clock time, and for
+    zones the two offsets that can hold (those in force a day before and a day after), each giving a candidate that counts if the zone's
+    clock shows the wanted time then.
+    """
+    c = lambda n: F.col(f"_ts_{n}")
+    step = lambda d, /, **cols: d.withColumns({f"_ts_{k}": v for k, v in cols.items()})
+    df = step(df, t=F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+    which = F.when(c("t").rlike(f"^{_NUMBER}$"), -1)
+    for i, p in enumerate(PATTERNS):
+        which = which.when(c("t").rlike(f"^{p}$"), i)
+    df = step(df, k=which)
+
+    def group(name: str) -> Column:
+        out = None
+        for i, p in enumerate(PATTERNS):
+            order = _group_order(p)
+            if name in order:
+                x = F.regexp_extract(c("t"), f"^{p}$", order.index(name) + 1)
+                out = F.when(c("k") == i, x) if out is None else out.when(c("k") == i, x)
+        return out.otherwise("")
+
+    df = step(df, **{g: group(g) for g in _GROUPS})
+    df = step(df, wall=_wall_us(c))
+    weekday = F.array_position(F.array(*map(F.lit, WEEKDAYS)), F.lower(c("wd"))) - 1
+    zone = F.coalesce(F.nullif(c("r"), F.lit("")), F.col(default_zone), F.lit("UTC"))
+    df = step(df, wall=F.when((c("wd") == "") | (weekday == F.pmod(F.floor(c("wall") / _DAY_US) + 3, F.lit(7))), c("wall")), zone=F.when((c("z") == "") & zone.isin(zones), zone))
+    df = step(df, a=c("wall") - (_local(c("wall") - _DAY_US, c("zone")) - (c("wall") - _DAY_US)), b=c("wall") - (_local(c("wall") + _DAY_US, c("zone")) - (c("wall") + _DAY_US)))
+    df = step(df, a_ok=_local(c("a"), c("zone")) == c("wall"), b_ok=_local(c("b"), c("zone")) == c("wall"))
+    local = F.when(c("a") == c("b"), F.when(c("a_ok"), c("a"))).when(c("a_ok") & c("b_ok"), F.lit(None)).when(c("a_ok"), c("a")).when(c("b_ok"), c("b"))
+    got = F.when(c("k") == -1, _number_us(c("t"))).when(c("z") != "", c("wall") - _offset_minutes(c("z")).cast("long") * 60_000_000).otherwise(local)
+    return df.withColumn(out, got).drop(*[x for x in df.columns if x.startswith("_ts_")])

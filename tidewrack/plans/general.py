@@ -17,12 +17,17 @@ def p1_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "bluesky_lines").withColumn("record_key", F.concat_ws("#", "file_name", "line_no"))
     lines = jsonlines.field_texts(lines, "line", "created_at", ["record_key", "writer_tz"])
     parts.append(lines.select(F.lit("bluesky_lines").alias("source"), "record_key", "value", "writer_tz"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).select("source", "record_key", F.col("value").alias("time_text"), timestamps.epoch_us(F.col("value"), F.col("writer_tz"), zones).alias("epoch_us"))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    # coalesce() to as many partitions as there are changes nothing but keeps Catalyst from copying the expressions into each branch
+    rows = rows.coalesce(rows.rdd.getNumPartitions())
+    return timestamps.with_epoch_us(rows, "value", "writer_tz", "epoch_us", zones).select("source", "record_key", F.col("value").alias("time_text"), "epoch_us")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose time text names exactly one instant."""
-    return p1_times(spark, sf_dir).select("source", "record_key", "epoch_us").filter(F.col("epoch_us").isNotNull())
+    # a filter would be pushed below the projection and compute the instant a second time; null arrays have no rows
+    rows = p1_times(spark, sf_dir).select("source", "record_key", F.array("epoch_us").alias("e"))
+    return rows.select("source", "record_key", F.explode(F.array_compact("e")).alias("epoch_us"))
 
 
 #: Columns of the landing record and how each value is made to fit.
