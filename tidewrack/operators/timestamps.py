@@ -130,4 +130,7 @@ def with_epoch_us(df: DataFrame, text: str, default_zone: str, out: str, zones:
     df = step(df, a_ok=_local(c("a"), c("zone")) == c("wall"), b_ok=_local(c("b"), c("zone")) == c("wall"))
     local = F.when(c("a") == c("b"), F.when(c("a_ok"), c("a"))).when(c("a_ok") & c("b_ok"), F.lit(None)).when(c("a_ok"), c("a")).when(c("b_ok"), c("b"))
     got = F.when(c("k") == -1, _number_us(c("t"))).when(c("z") != "", c("wall") - _offset_minutes(c("z")).cast("long") * 60_000_000).otherwise(local)
-    return df.withColumn(out, got).drop(*[x for x in df.columns if x.startswith("_ts_")])
+    # a generator of one element per row: a filter on the result stays above it. Pushed down through the steps, it would hold each step's
+    # expression as often as the next ones use it, and grow without bound
+    kept = [x for x in df.columns if not x.startswith("_ts_") and x != out]
+    return df.select(*kept, F.explode_outer(F.array(got)).alias(out))
