@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut
 
-FIT, PROBES, MARGIN, COLUMNS, EPS, BLOCK = 20_000, 12, 0.1, 16, 2.1, 4096
+FIT, PROBES, MARGIN, COLUMNS, EPS, BLOCK = 20_000, 12, 0.09, 16, 2.1, 4096
 _PAIRS = 4_000_000
 
 
