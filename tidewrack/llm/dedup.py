@@ -203,3 +203,8 @@ class History:
         for name, df in (("items", cut(known)), ("entries", new), ("texts", cut(fresh.join(firsts, "id").select("id", "text", "pivots", "first")))):
             df.write.mode("append").parquet(f"{self.path}/{name}")
         return out
+
+    def drop(self) -> None:
+        """Deletes the history."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.llm import dedup, gram, language, leaks, neighbours, packing, sketch, truncation
-from tidewrack.session import cut, table
+from tidewrack.session import cut, shared_dir, table
 
 #: Problem 2: least rows with both keywords, least share of all rows, least ratio to chance.
 P2_COUNT, P2_SHARE, P2_LIFT = 5, 1 / 1000, 3.0
@@ -39,6 +41,19 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.repeats(df, P6_SIMILARITY, P6_CHARS)
 
 
+def p3_last_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused rows of the last load batch against a history of all earlier ones: the incremental way of p3_found."""
+    posts = table(spark, sf_dir, "posts")
+    df = posts.select("load_batch", "row_id", dedup.item_of(F.col("platform"), F.col("native_id"), F.col("id")).alias("item"), "text")
+    last = posts.agg(F.max("load_batch")).first()[0]
+    history = dedup.History(spark, f"{shared_dir(spark).rstrip('/')}/p3-{uuid.uuid4().hex}", least=P6_SIMILARITY, min_chars=P6_CHARS)
+    try:
+        history.check(df.filter(F.col("load_batch") < last))
+        return history.check(df.filter(F.col("load_batch") == last))
+    finally:
+        history.drop()
+
+
 #: Problem 5: neighbours per vector and least cosine.
 P5_K, P5_COSINE = 10, 0.85
 
@@ -161,7 +176,7 @@ f AS (SELECT keyword_a, keyword_b, x.c AS n_a, y.c AS n_b, n_ab, n.n AS n, round
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p7_found": p7_found, "p7_languages": p7_languages, "p7_segments": p7_segments, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_near": p9_near, "p10_found": p10_found, "p10_scores": p10_scores, "p10_sources": p10_sources}
+    return {"p2_found": p2_found, "p2_pairs": p2_pairs, "p3_found": p3_found, "p3_last_batch": p3_last_batch, "p5_found": p5_found, "p5_pairs": p5_pairs, "p6_found": p6_found, "p6_links": p6_links, "p7_found": p7_found, "p7_languages": p7_languages, "p7_segments": p7_segments, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_near": p9_near, "p10_found": p10_found, "p10_scores": p10_scores, "p10_sources": p10_sources}
 
 
 def oracle_sql() -> dict[str, str]:
