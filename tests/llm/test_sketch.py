@@ -72,3 +72,24 @@ def test_spaces_are_apart_and_empty(spark):
     assert sketch.row_pairs(df, sketch.similar(df)).count() == 0
     assert sketch.similar(df.limit(0)).count() == 0
     assert sketch.members(df, ["key"], 60).select(F.count_distinct("id")).first()[0] == 2
+
+
+def test_recall_by_band(spark):
+    rng = random.Random(8)
+    rows, band = [], {}
+    for i in range(1500):
+        n, low = rng.randrange(70, 600), (0.60, 0.62, 0.65)[i % 3]
+        t = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+        u = t[: 3 + -int(-(n - 3) * 2 * low // (1 + low))]  # the rest is new
+        u += "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n - len(u)))
+        s = sketch.jaccard(sketch.shingles(t), sketch.shingles(u))
+        if low <= s < low + 0.02:
+            band[2 * i, 2 * i + 1] = low
+            rows += [("s", t, 2 * i), ("s", u, 2 * i + 1)]
+    df = spark.createDataFrame(rows, "space string, text string, key int")
+    got = {(r["key_a"], r["key_b"]) for r in sketch.row_pairs(df, sketch.similar(df)).collect()}
+    for low, least in ((0.60, 0.985), (0.62, 0.99), (0.65, 0.99)):
+        want = [p for p in band if band[p] == low]
+        found = sum(p in got for p in want)
+        print(f"from {low}: {found} of {len(want)}")
+        assert len(want) > 300 and found >= least * len(want), (low, found, len(want))

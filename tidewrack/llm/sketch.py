@@ -4,9 +4,9 @@
 2. Inverted lists: the values of RUN neighbours in a sketch make one list key. Two texts of similarity J share each run of the joint order
    with probability J ** RUN. About KEYS runs are kept per text, chosen by the key's own hash, so both texts of a pair choose alike. Single
    values would make lists that grow with every common phrase; runs keep lists short. Sets of up to SMALL values list every value as well.
-3. Filter: a 128-bit signature goes with each entry, one bit of the smallest hash in each of 128 ranges of the hash (a sketch of the union's
-   minima): bits agree with probability (1 + J) / 2. Pairs of one list that agree too rarely are dropped inside the list. What is left
-   is filtered by another 256 bits, kept once per text, before any text moves.
+3. Filter: a 128-bit signature goes with each entry, one bit of the smallest hash in each range of the hash (a sketch of the union's
+   minima): bits agree with probability (1 + J) / 2. Pairs of one list that agree too rarely are dropped inside the list, as are those
+   whose sizes rule the similarity out. What is left is filtered by another 256 bits, kept once per text, before any text moves.
 4. The exact Jaccard similarity of the sets decides.
 
 Equal texts are one class throughout (a 64-bit digest), so copies cost nothing after the first step; each task drops repeats before the
@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut, spread
 
-SHINGLE, K, RUN, KEYS, SMALL = 4, 128, 5, 32, 40
-SIGNATURE_BITS = 128
-#: Least number of equal signature bits of a pair; the second for sets of under 128 values, whose bits vary more.
-AGREE, AGREE_SMALL = 94, 86
-#: Bits of the second signature, and the least number that agree: three standard deviations under what a similarity of 0.6 gives.
-SECOND_BITS, SECOND_AGREE = 256, 186
+SHINGLE, K, RUN, KEYS, SMALL = 4, 128, 4, 48, 40
+#: Bits of the two signatures, and of them in one order of the hash: few, so that sets of 60 values leave few ranges empty.
+SIGNATURE_BITS, SECOND_BITS, RANGES = 128, 256, 32
+#: The least similarity that lists and filters are made for; both filters pass what is within so many standard deviations of it.
+LEAST, DEVIATIONS = 0.6, 3.0
+#: Steps of the size of a set in an entry to a factor of e.
+_SIZE_STEPS = 16
 #: Texts hashed at once, entries of a bucket, pairs compared at once, and rows up to which the set of wanted texts is broadcast.
 _BATCH_CHARS, _BUCKET_ENTRIES, _BLOCK, _BROADCAST_ROWS = 2_000_000, 250_000, 1_000, 400_000
 _EMPTY = np.uint64(2**63)
@@ -85,26 +86,24 @@ def _padded(values: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
 
 
 def signatures(values: np.ndarray, start: np.ndarray, b: int = SIGNATURE_BITS, salt: int = 0) -> np.ndarray:
-    """b / 64 words per set: a bit of the smallest hash in each range of the hash, of the next range that has one where it is empty.
-    salt: other than 0 for hashes in another order than that of the values."""
+    """b / 64 words per set: RANGES bits in each of b / RANGES orders of the hash, a bit of the smallest hash in each range of that order, of
+    the next range that has one where it is empty. salt: signatures of other salts, 1,000 apart, come from other orders."""
     n = len(start) - 1
-    doc = np.repeat(np.arange(n), np.diff(start))
-    if salt:
-        key = (doc.astype(np.uint64) << np.uint64(48)) | (mix(values + np.uint64(salt)) >> np.uint64(16))
+    doc = np.repeat(np.arange(n, dtype=np.uint64), np.diff(start)) << np.uint64(48)
+    begin, want, of = np.arange(n) * RANGES, np.arange(n * RANGES), np.arange(n).repeat(RANGES)
+    out = np.zeros((n, b // RANGES, RANGES), np.uint8)
+    for k in range(b // RANGES if len(values) else 0):
+        key = doc | (mix(values * _GOLDEN + np.uint64(1000 * salt + k + 1)) >> np.uint64(16))
         key.sort()
-        values = key & np.uint64(2**48 - 1)
-    slot = doc * b + (values >> np.uint64(49 - b.bit_length())).astype(np.int64)
-    first = np.concatenate([[True], slot[1:] != slot[:-1]]) if len(slot) else np.zeros(0, bool)
-    used, bit = slot[first], (mix(values[first]) & np.uint64(1)).astype(np.uint8)
-    want = np.arange(n * b)
-    nxt = np.searchsorted(used, want)
-    # past a set's last value: on to its first one
-    of = np.arange(n).repeat(b)
-    begin = np.searchsorted(used, np.arange(n) * b)
-    over = (nxt >= len(used)) | (used[np.minimum(nxt, len(used) - 1)] // b != of) if len(used) else np.ones(n * b, bool)
-    nxt = np.where(over, begin[of], nxt)
-    bits = bit[np.minimum(nxt, len(used) - 1)] if len(used) else np.zeros(n * b, np.uint8)
-    return np.packbits(bits.reshape(n, b), axis=1).view(np.uint64)
+        slot = (key >> np.uint64(49 - RANGES.bit_length())).astype(np.int64)
+        first = np.concatenate([[True], slot[1:] != slot[:-1]])
+        used, bit = slot[first], (mix(key[first] & np.uint64(2**48 - 1)) & np.uint64(1)).astype(np.uint8)
+        nxt = np.searchsorted(used, want)
+        # past a set's last value: on to its first one
+        over = (nxt >= len(used)) | (used[np.minimum(nxt, len(used) - 1)] // RANGES != of)
+        nxt = np.where(over, np.searchsorted(used, begin)[of], nxt)
+        out[:, k] = bit[np.minimum(nxt, len(used) - 1)].reshape(n, RANGES)
+    return np.packbits(out.reshape(n, b), axis=1).view(np.uint64)
 
 
 def list_keys(values: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +124,7 @@ def list_keys(values: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate([doc, small[d]]), np.concatenate([runs[doc, at], mix(one[d, a] + np.uint64(3))])
 
 
-#: One packed entry: rest of the key, digest, small set or not, signature.
+#: One packed entry: rest of the key, digest, how small the set is, signature.
 ENTRY = np.dtype([("key", "<u4"), ("id", "<i8"), ("small", "u1"), ("sig", "<u8", 2)])
 
 
@@ -162,7 +161,7 @@ def entries(df: DataFrame, buckets: int, min_chars: int) -> DataFrame:
                 rows = np.zeros(len(doc), ENTRY)
                 rows["key"] = key & np.uint64(0xFFFFFFFF)
                 rows["id"] = np.array([x[0] for x in part], np.int64)[doc]
-                rows["small"] = (np.diff(start) < 128)[doc]
+                rows["small"] = smallness(np.diff(start))[doc]
                 rows["sig"] = signatures(values, start)[doc]
                 bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -173,9 +172,29 @@ def entries(df: DataFrame, buckets: int, min_chars: int) -> DataFrame:
     return spread(df.select("space", "text")).mapInArrow(run, "bucket int, entries binary")
 
 
+def smallness(size: np.ndarray) -> np.ndarray:
+    """The size of a set as one byte on a logarithmic scale, larger for smaller sets; sizes beyond the scale are alike."""
+    return np.clip(255 - np.rint(_SIZE_STEPS * np.log(np.maximum(size, 1))), 0, 255).astype(np.uint8)
+
+
+def agree_least(size: np.ndarray, b: int) -> np.ndarray:
+    """Least number of equal bits, of b, for a pair whose smaller set has size values: DEVIATIONS under what LEAST gives. Sets that leave
+    ranges of the hash empty repeat bits, so theirs vary more; the second term is fitted to simulated pairs."""
+    p = (1 + LEAST) / 2
+    size = np.maximum(size, 1)
+    return p * b - DEVIATIONS * b * np.sqrt(p * (1 - p) * (1 + 1.4 * RANGES * np.exp(-size / (1.2 * RANGES)) / size) / b)
+
+
+_AGREE_LEAST = np.ceil(agree_least(np.exp((255 - np.arange(256)) / _SIZE_STEPS), SIGNATURE_BITS)).astype(np.int64)
+#: Sets further apart in size can't have the similarity LEAST; one step more, as both sizes are rounded.
+_SIZES_APART = int(-_SIZE_STEPS * np.log(LEAST)) + 1
+
+
 def _agree(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     same = SIGNATURE_BITS - np.bitwise_count(x["sig"][i] ^ x["sig"][j]).sum(axis=1, dtype=np.int64)
-    return same >= np.where(x["small"][i] | x["small"][j], AGREE_SMALL, AGREE)
+    p, q = x["small"][i], x["small"][j]
+    small = np.maximum(p, q)
+    return (same >= _AGREE_LEAST[small]) & (small - np.minimum(p, q) <= _SIZES_APART)
 
 
 def list_pairs(x: np.ndarray) -> np.ndarray:
@@ -268,17 +287,20 @@ def wanted_texts(pairs: DataFrame, df: DataFrame, min_chars: int) -> DataFrame:
     return texts(df, min_chars).join(F.broadcast(wanted) if few else wanted, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
 
 
-def with_signatures(held: DataFrame) -> DataFrame:
-    """held (id, text) with the words s0, s1, ... of the second signature."""
+def second_signatures(df: DataFrame, min_chars: int) -> DataFrame:
+    """(id, most, s0, s1, ...): the words of the second signature of each class, without its text, and the most bits in which a set at least
+    as large may differ."""
     words = SECOND_BITS // 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [signatures(*shingle_sets(part), SECOND_BITS, 11) for part in _groups(b.column(1).to_pylist(), _BATCH_CHARS, len)]
-            sig = np.concatenate(out).view(np.int64) if out else np.zeros((0, words), np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(sig[:, i]) for i in range(words))], ["id", "text", *(f"s{i}" for i in range(words))])
+            sets = [shingle_sets(part) for part in _groups(b.column(1).to_pylist(), _BATCH_CHARS, len)]
+            sig = np.concatenate([signatures(*x, SECOND_BITS, 11) for x in sets]).view(np.int64) if sets else np.zeros((0, words), np.int64)
+            size = np.concatenate([np.diff(start) for _, start in sets]) if sets else np.zeros(0, np.int64)
+            most = pa.array(np.floor(SECOND_BITS - agree_least(size, SECOND_BITS)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), most, *(pa.array(sig[:, i]) for i in range(words))], ["id", "most", *(f"s{i}" for i in range(words))])
 
-    return held.select("id", "text").mapInArrow(run, "id bigint, text string, " + ", ".join(f"s{i} bigint" for i in range(words)))
+    return texts(df, min_chars).mapInArrow(run, "id bigint, most int, " + ", ".join(f"s{i} bigint" for i in range(words))).dropDuplicates(["id"])
 
 
 def exact(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
@@ -301,12 +323,12 @@ def exact(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
 def similar(df: DataFrame, least: float = 0.6, min_chars: int = 60) -> DataFrame:
     """(a, b, similarity): all pairs of different texts of a space with a similarity of at least least; df: (space, text)."""
     pairs = cut(candidates(df, min_chars))
-    held = cut(with_signatures(wanted_texts(pairs, df, min_chars)))
+    held = cut(second_signatures(df, min_chars))
     words = [f"s{i}" for i in range(SECOND_BITS // 64)]
-    side = lambda k: held.select(F.col("id").alias(k), *(F.col(w).alias(f"{w}_{k}") for w in words))
+    side = lambda k: held.select(F.col("id").alias(k), F.col("most").alias(f"most_{k}"), *(F.col(w).alias(f"{w}_{k}") for w in words))
     differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words[1:]), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
-    close = pairs.join(side("a"), "a").join(side("b"), "b").filter(differ <= SECOND_BITS - SECOND_AGREE).select("a", "b")
-    return exact(close, held, least)
+    close = cut(pairs.join(side("a"), "a").join(side("b"), "b").filter(differ <= F.greatest("most_a", "most_b")).select("a", "b"))
+    return exact(close, wanted_texts(close, df, min_chars), least)
 
 
 def row_pairs(df: DataFrame, pairs: DataFrame, min_chars: int = 60) -> DataFrame:
