@@ -71,3 +71,26 @@ def test_embedding_keeps_small_edits_near():
 
 def test_edit_distance():
     assert leaks.edit_distance("kitten", "sitting", 5) == 3 and leaks.edit_distance("kitten", "sitting", 2) == 3 and leaks.edit_distance("", "abc", 5) == 3
+
+
+def test_place_distance():
+    rng = random.Random(6)
+    for _ in range(40):
+        a, b = ("".join(rng.choice("abc") for _ in range(n)) for n in (rng.randrange(1, 12), rng.randrange(0, 14)))
+        want = min(leaks.edit_distance(a, b[i:j], 99) for i in range(len(b) + 1) for j in range(i, len(b) + 1))
+        assert leaks.place_distance(a, b, 99) == want
+
+
+def test_items_with_many_spread_edits():
+    rng = random.Random(7)
+    for n, edits in ((200, 20), (200, 30), (200, 38), (320, 38)):
+        items = leaks.Items([(i, text(rng, n)) for i in range(100)])
+        docs = []
+        for t in items.texts:
+            s = list(t)
+            for k in rng.sample(range(n), edits):
+                s[k] = rng.choice(["", rng.choice(ALPHABET), s[k] + rng.choice(ALPHABET)])
+            docs.append(text(rng, 77) + "".join(s) + text(rng, 50))
+        got = {d: e for d, i, _, e in leaks._scan(docs, items, 40) if e >= 0 and d == i}
+        print(f"{n} characters, {edits} edits: {len(got)} of 100")
+        assert len(got) >= 97 and max(got.values()) <= edits
