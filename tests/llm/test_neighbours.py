@@ -54,3 +54,8 @@ def test_scan_equals_full_products_without_tests():
 
 def test_empty(spark):
     assert neighbours.nearest(spark.createDataFrame([], "name string, v array<float>, model string"), "name", "v", "model").count() == 0
+
+
+def test_probes_grow_with_lists():
+    assert neighbours.MARGIN >= 0.1
+    assert [neighbours.probed(n) for n in (1, 12, 100, 333, 1000)] == [1, 12, 12, 40, 120]

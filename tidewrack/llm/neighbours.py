@@ -2,7 +2,7 @@
 
 Vectors are scaled to length one and rotated by a fixed random rotation. Centroids (one per square root of the number of vectors) are fitted
 on a bounded sample of FIT vectors per model; every vector is put into the list of its nearest centroid and is looked up in the lists of
-its PROBES nearest ones, without those whose cosine is more than MARGIN below the best. Inside a list the squared distance of all pairs is added up one block of columns at a time. After each block a
+its PROBES nearest ones (of more than PROBED_OF lists the same share of them), without those whose cosine is more than MARGIN below the best. Inside a list the squared distance of all pairs is added up one block of columns at a time. After each block a
 hypothesis test abandons pairs: by the rotation the part seen so far, scaled up, estimates the whole, and a pair whose estimate exceeds
 the wanted distance by the factor (1 + EPS / sqrt(columns seen)) squared is dropped. What is left has its cosine computed in full.
 
@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from tidewrack.session import cut
 
-FIT, PROBES, MARGIN, COLUMNS, EPS, BLOCK = 20_000, 12, 0.09, 16, 2.1, 4096
+FIT, PROBES, MARGIN, COLUMNS, EPS, BLOCK = 20_000, 12, 0.1, 16, 2.1, 4096
+#: Up to so many lists of a model, PROBES are looked up; of more the same share.
+PROBED_OF = 100
 _PAIRS = 4_000_000
 
 
@@ -62,6 +64,11 @@ def fit_centroids(x: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
+def probed(lists: int, probes: int = PROBES) -> int:
+    """How many of a model's lists a vector is looked up in."""
+    return min(lists, max(probes, math.ceil(probes * lists / PROBED_OF)))
+
+
 def scan(query: np.ndarray, base: np.ndarray, least: float, k: int, eps: float = EPS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, base, cosine): the pairs that pass, at most the best k per query and ties of the last. query, base: rotated unit vectors."""
     d, top = query.shape[1], 2 - 2 * least
@@ -119,7 +126,7 @@ def nearest(df: DataFrame, name: str, vector: str, model: str, k: int = 10, leas
                 turn, centroids, start = sent.value[m]
                 x = (unit(b.column("vector").take(pa.array(at)).flatten().to_numpy().reshape(len(at), -1)) @ turn.astype(np.float64)).astype(np.float32)
                 near = x @ centroids.T
-                p = min(probes, near.shape[1])
+                p = probed(near.shape[1], probes)
                 best = np.argpartition(-near, p - 1, axis=1)[:, :p]
                 own = near.argmax(axis=1)
                 for r, i in enumerate(at):
