@@ -54,3 +54,14 @@ def test_texts(spark):
     rows = packing.pack(spark.createDataFrame([(1, "a b c"), (2, None), (3, ""), (4, t), (5, "🚀 " * 10)], "key int, text string"), "key", "text", 2048).collect()
     assert {r["key"] for r in rows} == {1, 3, 4, 5} and sum(r["tokens"] for r in rows if r["key"] == 4) == packing.count_tokens(e, t)
     assert packing.pack(spark.createDataFrame([], "key int, text string"), "key", "text", 2048).count() == 0
+
+
+def test_containers_hold_neighbours(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.randrange(5, 60), i) for i in range(4000)]
+    got = packing.packed(spark.createDataFrame(rows, "key bigint, tokens bigint, place bigint"), 200).collect()
+    boxes = {}
+    for r in got:
+        boxes.setdefault(r["container"], []).append(r["key"])
+    gaps = sorted(b - a for x in boxes.values() for a, b in zip(sorted(x), sorted(x)[1:], strict=False))
+    assert len(got) == 4000 and gaps[len(gaps) // 2] <= 40

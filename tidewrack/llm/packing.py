@@ -2,9 +2,9 @@
 
 Each text is counted in tokens of a public tokenizer and becomes a vector of hashed words, projected by fixed random signs to DIMS
 numbers; those are the coordinates of a cell whose place on a Hilbert curve is the text's key. Rows are range-sorted by key, and each
-range is packed along the curve: windows of WINDOW pieces are placed largest first, each into the open container with the least room that
-still holds it, and containers with room stay open for the next window. Neighbours on the curve thus share containers, and only the last
-containers of each range keep room.
+range is packed along the curve: windows of about WINDOW_CONTAINERS containers' tokens are placed largest first, each piece into the open
+container with the least room that still holds it, and containers with room stay open for the next windows. Most pieces of a container are
+thus from one window, neighbours on the curve; small pieces also fill room left by earlier windows.
 
 A text of more tokens than the capacity fills whole containers with pieces of exactly the capacity and leaves one shorter piece; no other
 text is split. Ranges are cut by key and number of the row, so equal texts, however many, spread over ranges. Their number follows the
@@ -33,7 +33,7 @@ from tidewrack.session import cut, spread
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 DIMS, LEVELS, SLOTS = 4, 8, 1024
-WINDOW, RANGE_CONTAINERS = 8192, 4000
+WINDOW_CONTAINERS, RANGE_CONTAINERS = 16, 4000
 #: Characters given to the tokenizer at once: longer texts are counted in parts cut before a space or a line's end.
 _PART = 200_000
 _WORD = re.compile(r"[^\W\d_]{2,}")
@@ -148,6 +148,16 @@ class Packer:
         return out
 
 
+def windows(sizes: list[int], capacity: int) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs of pieces that are placed together, of at least WINDOW_CONTAINERS containers' tokens each but the last."""
+    lo, n = 0, 0
+    for i, size in enumerate(sizes):
+        n += size
+        if n >= WINDOW_CONTAINERS * capacity or i == len(sizes) - 1:
+            yield lo, i + 1
+            lo, n = i + 1, 0
+
+
 def packed(sized: DataFrame, capacity: int) -> DataFrame:
     """(key, piece, tokens, container): where each piece of each text goes; sized: the result of measured(), best written out before."""
     pieces = sized.withColumn("n", F.greatest(F.ceil(F.col("tokens") / F.lit(capacity)), F.lit(1))).withColumn("piece", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
@@ -158,23 +168,13 @@ def packed(sized: DataFrame, capacity: int) -> DataFrame:
     rows = pieces.repartitionByRange(ranges, "place", "key", "piece").sortWithinPartitions("place", "key", "piece").withColumn("range", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, held, count = Packer(capacity), [], 0
-
-        def out() -> pa.RecordBatch:
-            b = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            boxes = pack.place(b.column("tokens").to_pylist())
-            start = b.column("range")[0].as_py() << 32
-            return pa.RecordBatch.from_arrays([b.column("key"), b.column("piece"), b.column("tokens"), pa.array([start + x for x in boxes], pa.int64())], ["key", "piece", "tokens", "container"])
-
+        pack = Packer(capacity)
         for b in batches:
             if b.num_rows:
-                held.append(b)
-                count += b.num_rows
-            if count >= WINDOW:
-                yield out()
-                held, count = [], 0
-        if held:
-            yield out()
+                sizes = b.column("tokens").to_pylist()
+                boxes = [x for lo, hi in windows(sizes, capacity) for x in pack.place(sizes[lo:hi])]
+                start = b.column("range")[0].as_py() << 32
+                yield pa.RecordBatch.from_arrays([b.column("key"), b.column("piece"), b.column("tokens"), pa.array([start + x for x in boxes], pa.int64())], ["key", "piece", "tokens", "container"])
 
     return rows.select("key", "piece", "tokens", "range").mapInArrow(run, f"key {kind}, piece int, tokens bigint, container bigint")
 
