@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -66,6 +67,13 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def release(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files of plans that nothing refers to any more, which it otherwise does at the driver's next collection of
+    garbage, maybe long after. For operators that work in several passes."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df once to the shared folder and reads it back, so that neither its cost nor a lost executor makes it be computed again."""
     spark = df.sparkSession
