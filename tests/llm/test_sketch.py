@@ -45,25 +45,63 @@ def test_pairs_against_brute_force(spark):
     assert len(got & sure) >= 0.995 * len(sure) and len(got) >= 0.97 * len(want), (len(got), len(want))
 
 
-def test_long_lists_lose_nothing(monkeypatch):
-    texts = [t for t in corpus(5, 40)]
+def _entries(texts, lists=(np.zeros(0, np.uint64), np.zeros(0, np.int64)), old=()):
     values, start = sketch.shingle_sets([sketch.normalise(t) for t in texts])
     doc, key = sketch.list_keys(values, start)
-    x = np.zeros(len(doc), sketch.ENTRY)
-    x["key"], x["id"], x["sig"], x["small"] = key & np.uint64(0xFF), doc, sketch.signatures(values, start)[doc], 1
-    whole = sketch.list_pairs(x)
-    monkeypatch.setattr(sketch, "_BLOCK", 7)
-    assert (sketch.list_pairs(x) == whole).all()
+    key &= np.uint64(0xFF)
+    row, key = sketch.cells(key, doc.astype(np.int64), lists)
+    x = np.zeros(len(row), sketch.ENTRY)
+    x["key"], x["id"], x["sig"] = key & np.uint64(0xFFFFFFFF), doc[row], sketch.signatures(values, start)[doc[row]]
+    x["small"], x["old"] = sketch.smallness(np.diff(start))[doc[row]], np.isin(doc[row], list(old))
+    return x
+
+
+def test_lists_split_into_cells_and_blocks_lose_nothing(monkeypatch):
+    texts = corpus(5, 40)
+    whole = sketch.list_pairs(_entries(texts))
+    assert len(whole) > 20
+    monkeypatch.setattr(sketch, "_PAIRS", 50)
+    assert (sketch.list_pairs(_entries(texts)) == whole).all()
+    split = _entries(texts, (np.arange(0, 256, 2, dtype=np.uint64), np.arange(128) % 5 + 1))
+    assert (sketch.list_pairs(split) == whole).all()
+
+
+def test_old_entries_meet_new_ones_only():
+    texts = corpus(6, 40)
+    whole = {tuple(p) for p in sketch.list_pairs(_entries(texts)).tolist()}
+    old = set(range(0, len(texts), 3))
+    assert {tuple(p) for p in sketch.list_pairs(_entries(texts, old=old)).tolist()} == {p for p in whole if not (p[0] in old and p[1] in old)}
+
+
+def test_one_list_with_a_third_of_the_texts(spark, monkeypatch):
+    """A run of values that many texts share: the sample finds it, its cells are several tasks' work, no pair is lost."""
+    monkeypatch.setattr(sketch, "LIST", 40)
+    head = "every one of these notes starts with the very same long sentence that nobody ever edits, "
+    rng = random.Random(2)
+    texts = corpus(4, 60) + [head + "".join(rng.choice("abcdefgh123") for _ in range(rng.randrange(4, 24))) for _ in range(120)]
+    df = frame(spark, texts)
+    held = sketch.sketches(df, 60).withColumn("old", F.lit(0).cast("byte"))
+    keys, parts = sketch.long_lists(held, held.count())
+    assert len(keys) and parts.max() >= 3
+    want = brute(texts)
+    got = {(r["key_a"], r["key_b"]) for r in sketch.row_pairs(df, sketch.similar(df)).collect()}
+    assert got <= set(want) and len(got) >= 0.98 * len(want) and len(want) > 5000
+
+
+def test_exhaustive_finds_every_pair(spark):
+    texts = corpus(9, 120) + [None, "", "a" * 90, "a" * 91, "ab" * 60, "ba" * 60]
+    for least in (0.6, 0.8):
+        df = frame(spark, texts)
+        got = {(r["key_a"], r["key_b"]) for r in sketch.row_pairs(df, sketch.similar(df, least, exhaustive=True)).collect()}
+        assert got == set(brute(texts, least))
 
 
 def test_signature_estimates():
     a, b = ["w%d" % i for i in range(400)], ["w%d" % i for i in range(100, 500)]
     va, sa = sketch.shingle_sets([" ".join(a), " ".join(b)])
     j = sketch.jaccard(sketch.shingles(" ".join(a)), sketch.shingles(" ".join(b)))
-    for bits, salt in ((128, 0), (256, 11)):
-        s = sketch.signatures(va, sa, bits, salt)
-        same = 1 - np.bitwise_count(s[0] ^ s[1]).sum() / bits
-        assert abs(same - (1 + j) / 2) < 0.13
+    s = sketch.signatures(va, sa)
+    assert abs(1 - np.bitwise_count(s[0] ^ s[1]).sum() / sketch.BITS - (1 + j) / 2) < 0.13
 
 
 def test_spaces_are_apart_and_empty(spark):

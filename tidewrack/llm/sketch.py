@@ -4,13 +4,19 @@
 2. Inverted lists: the values of RUN neighbours in a sketch make one list key. Two texts of similarity J share each run of the joint order
    with probability J ** RUN. About KEYS runs are kept per text, chosen by the key's own hash, so both texts of a pair choose alike. Single
    values would make lists that grow with every common phrase; runs keep lists short. Sets of up to SMALL values list every value as well.
-3. Filter: a 128-bit signature goes with each entry, one bit of the smallest hash in each range of the hash (a sketch of the union's
-   minima): bits agree with probability (1 + J) / 2. Pairs of one list that agree too rarely are dropped inside the list, as are those
-   whose sizes rule the similarity out. What is left is filtered by another 256 bits, kept once per text, before any text moves.
+3. Filter: a signature of SLOTS x ORDERS bits goes with each entry of a list. Each range of the hash gives, in ORDERS orders, one bit of its
+   least value (a sketch of the union's minima), so bits agree with probability (1 + J) / 2. A list is ordered by the size of the sets, and
+   only sizes within reach of the similarity are compared. What passes leaves the list.
 4. The exact Jaccard similarity of the sets decides.
 
+Steps 2 and 3 find a pair of similarity LEAST or more with a probability near one (README); ``exhaustive`` asks for all of them for certain:
+lists of the single values that any similar pair must share one of (the first of each set in order of the hash, as many as the similarity
+leaves room for), and no filter but the sizes.
+
 Equal texts are one class throughout (a 64-bit digest), so copies cost nothing after the first step; each task drops repeats before the
-shuffle. The entries of a task are packed by bucket of key into few rows. Lists are compared in blocks; none is capped.
+shuffle. Sketches are written once; their entries are packed by bucket of key into few rows and compared in WAVES parts of the buckets one after
+the other, so that only a part of the entries is on disk at a time. No list is capped: one that a bounded sample of the texts shows to be
+longer than LIST entries is split into cells, each a pair of parts of the list, over as many tasks.
 
 Null texts and normalised texts under min_chars are left out; an empty table gives no pairs; texts are read whole, however long; extra
 columns are ignored.
@@ -18,8 +24,10 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +35,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewrack.session import cut, spread
+from tidewrack.session import cut, release, spread
 
 SHINGLE, K, RUN, KEYS, SMALL = 4, 128, 4, 48, 40
-#: Bits of the two signatures, and of them in one order of the hash: few, so that sets of 60 values leave few ranges empty.
-SIGNATURE_BITS, SECOND_BITS, RANGES = 128, 256, 32
-#: The least similarity that lists and filters are made for; both filters pass what is within so many standard deviations of it.
-LEAST, DEVIATIONS = 0.6, 3.0
+#: Bits of a signature: ranges of the hash and orders in each.
+SLOTS, ORDERS = 16, 16
+BITS = SLOTS * ORDERS
+#: The least similarity that lists and filter are made for; the filter passes what is within so many standard deviations of it.
+LEAST, DEVIATIONS = 0.6, 3.5
 #: Steps of the size of a set in an entry to a factor of e.
 _SIZE_STEPS = 16
+#: Parts in which the buckets are compared; entries of a list from which on it is split, if a sample of SAMPLE texts shows it.
+WAVES, LIST, SAMPLE = 3, 16_384, 20_000
 #: Texts hashed at once, entries of a bucket, pairs compared at once, and rows up to which the set of wanted texts is broadcast.
-_BATCH_CHARS, _BUCKET_ENTRIES, _BLOCK, _BROADCAST_ROWS = 2_000_000, 250_000, 1_000, 400_000
+_BATCH_CHARS, _BUCKET_ENTRIES, _PAIRS, _BROADCAST_ROWS = 2_000_000, 250_000, 2_000_000, 400_000
 _EMPTY = np.uint64(2**63)
+_KEY_BYTES = 6
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: Odd factors, one for each order of the hash.
+_ORDER = np.random.default_rng(5).integers(1, 2**63, ORDERS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def normalise(text: str) -> str:
@@ -85,30 +99,34 @@ def _padded(values: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
     return np.where(np.arange(k) < size[:, None], values[at] if len(values) else _EMPTY, _EMPTY)
 
 
-def signatures(values: np.ndarray, start: np.ndarray, b: int = SIGNATURE_BITS, salt: int = 0) -> np.ndarray:
-    """b / 64 words per set: RANGES bits in each of b / RANGES orders of the hash, a bit of the smallest hash in each range of that order, of
-    the next range that has one where it is empty. salt: signatures of other salts, 1,000 apart, come from other orders."""
+def signatures(values: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """BITS / 64 words per set: for each order a bit of the least value in each range of the hash, of the next range of the set that has one
+    where it is empty. The values of a set come in order of the hash, so those of a range stand together."""
     n = len(start) - 1
-    doc = np.repeat(np.arange(n, dtype=np.uint64), np.diff(start)) << np.uint64(48)
-    begin, want, of = np.arange(n) * RANGES, np.arange(n * RANGES), np.arange(n).repeat(RANGES)
-    out = np.zeros((n, b // RANGES, RANGES), np.uint8)
-    for k in range(b // RANGES if len(values) else 0):
-        key = doc | (mix(values * _GOLDEN + np.uint64(1000 * salt + k + 1)) >> np.uint64(16))
-        key.sort()
-        slot = (key >> np.uint64(49 - RANGES.bit_length())).astype(np.int64)
-        first = np.concatenate([[True], slot[1:] != slot[:-1]])
-        used, bit = slot[first], (mix(key[first] & np.uint64(2**48 - 1)) & np.uint64(1)).astype(np.uint8)
-        nxt = np.searchsorted(used, want)
-        # past a set's last value: on to its first one
-        over = (nxt >= len(used)) | (used[np.minimum(nxt, len(used) - 1)] // RANGES != of)
-        nxt = np.where(over, np.searchsorted(used, begin)[of], nxt)
-        out[:, k] = bit[np.minimum(nxt, len(used) - 1)].reshape(n, RANGES)
-    return np.packbits(out.reshape(n, b), axis=1).view(np.uint64)
-
-
-def list_keys(values: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, key): the inverted lists each text is in."""
+    if not len(values):
+        return np.zeros((n, BITS // 64), np.uint64)
+    slot = np.repeat(np.arange(n), np.diff(start)) * SLOTS + (values >> np.uint64(48 - SLOTS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+    used, want = slot[first], np.arange(n * SLOTS)
+    at = np.searchsorted(used, want)
+    # past a set's last range: on to its first one
+    over = (at >= len(used)) | (used[np.minimum(at, len(used) - 1)] // SLOTS != want // SLOTS)
+    at = np.minimum(np.where(over, np.searchsorted(used, want // SLOTS * SLOTS), at), len(used) - 1)
+    out = np.empty((n, ORDERS, SLOTS), np.uint8)
+    for k in range(ORDERS):
+        bit = (mix(np.minimum.reduceat(values * _ORDER[k], first)) & np.uint64(1)).astype(np.uint8)
+        out[:, k] = bit[at].reshape(n, SLOTS)
+    return np.packbits(out.reshape(n, BITS), axis=1).view(np.uint64)
+
+
+def list_keys(values: np.ndarray, start: np.ndarray, exhaustive: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, 48-bit key): the inverted lists each text is in, text by text. exhaustive: a similarity of which no pair may be missed."""
     size = np.diff(start)
+    if exhaustive is not None:
+        # similar sets of sizes n and m share at least exhaustive * max(n, m) values, so one of the first n - that + 1 of either
+        n = np.where(size, size - np.ceil(exhaustive * size - 1e-9).astype(np.int64) + 1, 0)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[:-1], n)
+        return np.repeat(np.arange(len(size)), n), mix(values[at] + np.uint64(3)) >> np.uint64(16)
     s = _padded(values, start, K)
     runs = s[:, : K - RUN + 1].copy()
     for j in range(1, RUN):
@@ -121,11 +139,30 @@ def list_keys(values: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nda
     small = np.flatnonzero(size <= SMALL)
     one = _padded(values, start, SMALL)[small] if len(small) else np.zeros((0, SMALL), np.uint64)
     d, a = np.nonzero(one != _EMPTY)
-    return np.concatenate([doc, small[d]]), np.concatenate([runs[doc, at], mix(one[d, a] + np.uint64(3))])
+    doc, key = np.concatenate([doc, small[d]]), np.concatenate([runs[doc, at], mix(one[d, a] + np.uint64(3))]) >> np.uint64(16)
+    order = np.argsort(doc, kind="stable")
+    return doc[order], key[order]
+
+
+def smallness(size: np.ndarray) -> np.ndarray:
+    """The size of a set as one byte on a logarithmic scale, larger for smaller sets; sizes beyond the scale are alike."""
+    return np.clip(255 - np.rint(_SIZE_STEPS * np.log(np.maximum(size, 1))), 0, 255).astype(np.uint8)
+
+
+def differ_most(size: np.ndarray) -> np.ndarray:
+    """Most bits in which a pair may differ whose smaller set has size values: DEVIATIONS over what LEAST gives. Sets that leave ranges of the
+    hash empty repeat bits, so theirs vary more; the last factor is fitted to simulated pairs."""
+    p = (1 - LEAST) / 2
+    return p * BITS + DEVIATIONS * np.sqrt(p * (1 - p) * BITS * (1 + 40 / np.maximum(size, 1)))
 
 
-#: One packed entry: rest of the key, digest, how small the set is, signature.
-ENTRY = np.dtype([("key", "<u4"), ("id", "<i8"), ("small", "u1"), ("sig", "<u8", 2)])
+_MOST = np.floor(differ_most(np.exp((255 - np.arange(256)) / _SIZE_STEPS))).astype(np.uint16)
+#: Sets further apart in size can't have the similarity LEAST; one step more, as both sizes are rounded.
+_SIZES_APART = int(-_SIZE_STEPS * np.log(LEAST)) + 1
+
+#: One packed entry: rest of the key, digest, how small the set is, whether it was known before, signature.
+ENTRY = np.dtype([("key", "<u4"), ("id", "<i8"), ("small", "u1"), ("old", "u1"), ("sig", "<u8", BITS // 64)])
+SKETCH = "id bigint, small tinyint, keys binary, sig binary"
 
 
 def _groups(items: list, limit: int, weight) -> Iterator[list]:
@@ -140,8 +177,8 @@ def _groups(items: list, limit: int, weight) -> Iterator[list]:
         yield out
 
 
-def entries(df: DataFrame, buckets: int, min_chars: int) -> DataFrame:
-    """(bucket, entries): packed entries of the inverted lists of all texts; df: (space, text)."""
+def sketches(df: DataFrame, min_chars: int, exhaustive: float | None = None) -> DataFrame:
+    """(id, small, keys, sig): the sketch of each class of equal texts, repeats dropped within a task; df: (space, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -152,94 +189,149 @@ def entries(df: DataFrame, buckets: int, min_chars: int) -> DataFrame:
                     continue
                 seen.add(k)
                 fresh.append((k, xxhash.xxh3_64_intdigest(space), t))
-            if len(seen) > 2_000_000:  # only saves work: repeats over tasks are dropped in the buckets
+            if len(seen) > 2_000_000:  # only saves work: repeats over tasks are dropped in the lists
                 seen.clear()
             for part in _groups(fresh, _BATCH_CHARS, lambda x: len(x[2])):
                 values, start = shingle_sets([x[2] for x in part])
-                doc, key = list_keys(values, start)
+                doc, key = list_keys(values, start, exhaustive)
                 key = mix(key ^ np.array([x[1] for x in part], np.uint64)[doc])
-                rows = np.zeros(len(doc), ENTRY)
-                rows["key"] = key & np.uint64(0xFFFFFFFF)
-                rows["id"] = np.array([x[0] for x in part], np.int64)[doc]
-                rows["small"] = smallness(np.diff(start))[doc]
-                rows["sig"] = signatures(values, start)[doc]
-                bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                rows, at = rows[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
-                some = np.flatnonzero(np.diff(at))
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([rows[at[i] : at[i + 1]].tobytes() for i in some], pa.binary())], ["bucket", "entries"])
+                keys = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
+                at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(part)))]) * _KEY_BYTES
+                sig, small = signatures(values, start), smallness(np.diff(start)).view(np.int8)
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array(small), pa.array([keys[i:j] for i, j in zip(at, at[1:], strict=False)], pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], ["id", "small", "keys", "sig"])
 
-    return spread(df.select("space", "text")).mapInArrow(run, "bucket int, entries binary")
+    return spread(df.select("space", "text")).mapInArrow(run, SKETCH)
 
 
-def smallness(size: np.ndarray) -> np.ndarray:
-    """The size of a set as one byte on a logarithmic scale, larger for smaller sets; sizes beyond the scale are alike."""
-    return np.clip(255 - np.rint(_SIZE_STEPS * np.log(np.maximum(size, 1))), 0, 255).astype(np.uint8)
+def keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of a column of packed keys."""
+    each = column.to_pylist()
+    row = np.repeat(np.arange(len(each)), [len(x) // _KEY_BYTES for x in each])
+    full = np.zeros((len(row), 8), np.uint8)
+    full[:, :_KEY_BYTES] = np.frombuffer(b"".join(each), np.uint8).reshape(-1, _KEY_BYTES)
+    return row, full.view("<u8").reshape(-1)
 
 
-def agree_least(size: np.ndarray, b: int) -> np.ndarray:
-    """Least number of equal bits, of b, for a pair whose smaller set has size values: DEVIATIONS under what LEAST gives. Sets that leave
-    ranges of the hash empty repeat bits, so theirs vary more; the second term is fitted to simulated pairs."""
-    p = (1 + LEAST) / 2
-    size = np.maximum(size, 1)
-    return p * b - DEVIATIONS * b * np.sqrt(p * (1 - p) * (1 + 1.4 * RANGES * np.exp(-size / (1.2 * RANGES)) / size) / b)
+def long_lists(held: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, parts): lists that a sample of SAMPLE classes, by hash, shows to be longer than LIST, and in how many parts to split each. At
+    most KEYS * SAMPLE / 3 keys, since one must occur in three texts of the sample at least. held: sketches of n classes."""
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if n <= LIST:
+        return none
+    share = min(1.0, SAMPLE / n)
+    sample = held.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < int(share * 1_000_003) + 1).dropDuplicates(["id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.stack(keys_of(b.column(0)), axis=1), axis=0)[:, 1].astype(np.int64))], ["key"])
 
+    often = sample.select("keys").mapInArrow(run, "key bigint").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= max(3, math.ceil(LIST * share)))
+    got = sorted((r["key"], r["n"]) for r in often.collect())
+    return (np.array([k for k, _ in got], np.uint64), np.array([-(-int(c / share) // LIST) + 1 for _, c in got])) if got else none
 
-_AGREE_LEAST = np.ceil(agree_least(np.exp((255 - np.arange(256)) / _SIZE_STEPS), SIGNATURE_BITS)).astype(np.int64)
-#: Sets further apart in size can't have the similarity LEAST; one step more, as both sizes are rounded.
-_SIZES_APART = int(-_SIZE_STEPS * np.log(LEAST)) + 1
 
+def cells(key: np.ndarray, ids: np.ndarray, lists: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(entry, key of a list or of a cell of it): each entry once, those of a list in p parts p times, as every two parts meet in one cell."""
+    keys, parts = lists
+    which = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+    hit = keys[which] == key if len(keys) else np.zeros(len(key), bool)
+    n = np.where(hit, parts[which] if len(keys) else 1, 1)
+    row = np.repeat(np.arange(len(key)), n)
+    other = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    own = (mix(ids.view(np.uint64)) % n.astype(np.uint64)).astype(np.int64)[row]
+    cell = (np.minimum(own, other) * n[row] + np.maximum(own, other)).astype(np.uint64)
+    return row, np.where(hit[row], mix(key[row] + cell * _GOLDEN), key[row])
 
-def _agree(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    same = SIGNATURE_BITS - np.bitwise_count(x["sig"][i] ^ x["sig"][j]).sum(axis=1, dtype=np.int64)
-    p, q = x["small"][i], x["small"][j]
-    small = np.maximum(p, q)
-    return (same >= _AGREE_LEAST[small]) & (small - np.minimum(p, q) <= _SIZES_APART)
 
+def entries(held: DataFrame, buckets: int, lists: tuple[np.ndarray, np.ndarray], wave: int = 0, waves: int = 1, wanted: object = None) -> DataFrame:
+    """(bucket, entries): packed entries of the sketches (id, small, keys, sig, old) in the buckets of one wave. wanted: a broadcast bit table;
+    only entries whose key is in it are made."""
+    sent = held.sparkSession.sparkContext.broadcast(lists)
 
-def list_pairs(x: np.ndarray) -> np.ndarray:
-    """Pairs of ids (smaller first) that share a list of the entries and whose signatures agree."""
-    order = np.lexsort((x["id"], x["key"]))
-    x = x[order]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids, small, old = (b.column(k).to_numpy(zero_copy_only=False) for k in ("id", "small", "old"))
+            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint64).reshape(len(ids), -1)
+            doc, key = keys_of(b.column("keys"))
+            if wanted is not None:
+                some = wanted.value[(key % np.uint64(len(wanted.value))).astype(np.int64)]
+                doc, key = doc[some], key[some]
+            row, key = cells(key, ids[doc], sent.value)
+            doc, key = doc[row], mix(key)
+            bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            now = np.flatnonzero(bucket % waves == wave)
+            now = now[np.argsort(bucket[now], kind="stable")]
+            rows = np.zeros(len(now), ENTRY)
+            rows["key"], rows["id"], rows["small"], rows["old"], rows["sig"] = key[now] & np.uint64(0xFFFFFFFF), ids[doc[now]], small.view(np.uint8)[doc[now]], old[doc[now]], sig[doc[now]]
+            some, at = np.unique(bucket[now], return_index=True)
+            at = np.append(at, len(now))
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([rows[i:j].tobytes() for i, j in zip(at, at[1:], strict=False)], pa.binary())], ["bucket", "entries"])
+
+    return held.select("id", "small", "keys", "sig", "old").mapInArrow(run, "bucket int, entries binary")
+
+
+def list_pairs(x: np.ndarray, filtered: bool = True) -> np.ndarray:
+    """Pairs of ids (smaller first) that share a list of the entries, have sizes that allow the similarity LEAST and whose signatures agree
+    (if filtered). Two old entries make no pair and aren't compared."""
+    at = np.lexsort((x["id"], x["small"], x["key"]))
+    x = x[at]
     x = x[np.concatenate([[True], (x["key"][1:] != x["key"][:-1]) | (x["id"][1:] != x["id"][:-1])])] if len(x) else x
-    start = np.flatnonzero(np.concatenate([[True], x["key"][1:] != x["key"][:-1]])) if len(x) else np.zeros(0, np.int64)
-    size = np.diff(np.append(start, len(x)))
+    ids, small, old, sig = x["id"].copy(), x["small"].copy(), x["old"].astype(bool), [x["sig"][:, k].copy() for k in range(BITS // 64)]
+    place = (x["key"].astype(np.int64) << 8) | small
+    fresh = np.flatnonzero(~old)
+    # a new entry meets those after it within reach of the size, and old ones before it
+    hi = np.searchsorted(place, (place[fresh] & ~255) | np.minimum(small[fresh].astype(np.int64) + _SIZES_APART, 255), side="right")
+    lo = np.searchsorted(place, (place[fresh] & ~255) | np.maximum(small[fresh].astype(np.int64) - _SIZES_APART, 0)) if old.any() else fresh + 1
+    n = np.maximum(hi - lo, 0)
+    load = np.cumsum(n)
+    bounds = [*np.unique(np.searchsorted(load, np.arange(0, load[-1], _PAIRS))), len(fresh)] if len(load) and load[-1] else []
     found = []
-
-    def take(i: np.ndarray, j: np.ndarray) -> None:
-        ok = _agree(x, i, j)
-        if ok.any():
-            found.append(np.unique(np.stack([x["id"][i[ok]], x["id"][j[ok]]], axis=1), axis=0))
-
-    middle = (size > 1) & (size <= _BLOCK)
-    s, n = start[middle], size[middle]
-    load = np.cumsum(n * (n - 1) // 2)
-    cuts = [*np.searchsorted(load, np.arange(0, load[-1], 2_000_000)), len(s)] if len(load) else []
-    for lo, hi in zip(cuts, cuts[1:], strict=False):
-        m = n[lo:hi]
-        first = np.concatenate([np.arange(a, a + c) for a, c in zip(s[lo:hi], m, strict=True)]) if hi > lo else np.zeros(0, np.int64)
-        rest = np.repeat(s[lo:hi] + m, m) - first - 1
-        i = np.repeat(first, rest)
-        take(i, np.arange(rest.sum()) - np.repeat(np.cumsum(rest) - rest, rest) + i + 1)
-    for a, c in zip(start[size > _BLOCK], size[size > _BLOCK], strict=True):
-        for p in range(a, a + c, _BLOCK):
-            for q in range(p, a + c, _BLOCK):
-                i, j = np.meshgrid(np.arange(p, min(p + _BLOCK, a + c)), np.arange(q, min(q + _BLOCK, a + c)), indexing="ij")
-                up = i < j
-                take(i[up], j[up])
+    for p, q in zip(bounds, bounds[1:], strict=False):
+        m = n[p:q]
+        i = np.repeat(fresh[p:q], m)
+        j = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(lo[p:q], m)
+        if old.any():
+            ok = (j > i) | old[j]
+            i, j = i[ok], j[ok]
+        if filtered:
+            most = _MOST[np.maximum(small[i], small[j])]
+            d = np.bitwise_count(sig[0][i] ^ sig[0][j]).astype(np.uint16)
+            for s in sig[1:]:
+                ok = d <= most
+                i, j, d, most = i[ok], j[ok], d[ok], most[ok]
+                d += np.bitwise_count(s[i] ^ s[j])
+            ok = d <= most
+            i, j = i[ok], j[ok]
+        if len(i):
+            found.append(np.unique(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], axis=1), axis=0))
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
-def candidates(df: DataFrame, min_chars: int) -> DataFrame:
-    """(a, b): distinct pairs of digests that share an inverted list and agree in their signatures; df: (space, text)."""
-    buckets = max(24, -(-df.count() * (KEYS + 2) // _BUCKET_ENTRIES))
+def listed_pairs(parts: list, n: int, filtered: bool = True, keys: float = KEYS + 2) -> DataFrame:
+    """(a, b): distinct pairs of the sketches that share a list and pass. parts: functions of (buckets, wave, waves) that give packed entries;
+    n: about how many sketches there are."""
+    buckets = max(24, math.ceil(n * keys / _BUCKET_ENTRIES))
 
     def join(t: pa.Table) -> pa.Table:
-        p = list_pairs(np.frombuffer(b"".join(t.column("entries").to_pylist()), ENTRY))
+        p = list_pairs(np.frombuffer(b"".join(t.column("entries").to_pylist()), ENTRY), filtered)
         return pa.table({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
 
-    packed = entries(df, buckets, min_chars).repartition(buckets, "bucket")
-    return packed.groupBy("bucket").applyInArrow(join, "a bigint, b bigint").distinct()
+    out = []
+    for wave in range(WAVES):
+        packed = reduce(DataFrame.unionByName, [f(buckets, wave, WAVES) for f in parts])
+        out.append(cut(packed.repartition(-(-buckets // WAVES), "bucket").groupBy("bucket").applyInArrow(join, "a bigint, b bigint").distinct()))
+        release(packed.sparkSession)
+    return reduce(DataFrame.unionByName, out).distinct()
+
+
+def candidates(df: DataFrame, min_chars: int, exhaustive: float | None = None) -> DataFrame:
+    """(a, b): distinct pairs of digests that share an inverted list and agree in their signatures; df: (space, text)."""
+    held = cut(sketches(df, min_chars, exhaustive)).withColumn("old", F.lit(0).cast("byte"))
+    n, size = held.agg(F.count("*"), F.coalesce(F.avg(F.length("keys")), F.lit(0.0))).first()
+    lists = long_lists(held, n)
+    return listed_pairs([lambda *a: entries(held, a[0], lists, *a[1:])], n, exhaustive is None, size / _KEY_BYTES)
 
 
 def texts(df: DataFrame, min_chars: int) -> DataFrame:
@@ -287,22 +379,6 @@ def wanted_texts(pairs: DataFrame, df: DataFrame, min_chars: int) -> DataFrame:
     return texts(df, min_chars).join(F.broadcast(wanted) if few else wanted, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
 
 
-def second_signatures(df: DataFrame, min_chars: int) -> DataFrame:
-    """(id, most, s0, s1, ...): the words of the second signature of each class, without its text, and the most bits in which a set at least
-    as large may differ."""
-    words = SECOND_BITS // 64
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_sets(part) for part in _groups(b.column(1).to_pylist(), _BATCH_CHARS, len)]
-            sig = np.concatenate([signatures(*x, SECOND_BITS, 11) for x in sets]).view(np.int64) if sets else np.zeros((0, words), np.int64)
-            size = np.concatenate([np.diff(start) for _, start in sets]) if sets else np.zeros(0, np.int64)
-            most = pa.array(np.floor(SECOND_BITS - agree_least(size, SECOND_BITS)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), most, *(pa.array(sig[:, i]) for i in range(words))], ["id", "most", *(f"s{i}" for i in range(words))])
-
-    return texts(df, min_chars).mapInArrow(run, "id bigint, most int, " + ", ".join(f"s{i} bigint" for i in range(words))).dropDuplicates(["id"])
-
-
 def exact(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
     """(a, b, similarity) of the pairs whose texts' exact similarity is at least least; held: (id, text)."""
     side = lambda k: held.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}"))
@@ -320,15 +396,13 @@ def exact(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
-def similar(df: DataFrame, least: float = 0.6, min_chars: int = 60) -> DataFrame:
-    """(a, b, similarity): all pairs of different texts of a space with a similarity of at least least; df: (space, text)."""
-    pairs = cut(candidates(df, min_chars))
-    held = cut(second_signatures(df, min_chars))
-    words = [f"s{i}" for i in range(SECOND_BITS // 64)]
-    side = lambda k: held.select(F.col("id").alias(k), F.col("most").alias(f"most_{k}"), *(F.col(w).alias(f"{w}_{k}") for w in words))
-    differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words[1:]), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
-    close = cut(pairs.join(side("a"), "a").join(side("b"), "b").filter(differ <= F.greatest("most_a", "most_b")).select("a", "b"))
-    return exact(close, wanted_texts(close, df, min_chars), least)
+def similar(df: DataFrame, least: float = LEAST, min_chars: int = 60, exhaustive: bool = False) -> DataFrame:
+    """(a, b, similarity): all pairs of different texts of a space with a similarity of at least least; df: (space, text). Similarities under
+    LEAST are only found with exhaustive."""
+    if least < LEAST:
+        raise ValueError(f"lists and filter are made for similarities of {LEAST} and more")
+    pairs = cut(candidates(df, min_chars, least if exhaustive else None))
+    return exact(pairs, wanted_texts(pairs, df, min_chars), least)
 
 
 def row_pairs(df: DataFrame, pairs: DataFrame, min_chars: int = 60) -> DataFrame:
