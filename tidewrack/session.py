@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -69,9 +70,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def release(spark: SparkSession) -> None:
     """Has Spark delete the shuffle files of plans that nothing refers to any more, which it otherwise does at the driver's next collection of
-    garbage, maybe long after. For operators that work in several passes."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    garbage, maybe long after. For operators that work in several passes. What the first collection finds is only let go by the second."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def cut(df: DataFrame) -> DataFrame:
