@@ -262,7 +262,7 @@ def entries(held: DataFrame, buckets: int, lists: tuple[np.ndarray, np.ndarray],
             doc, key = doc[row], mix(key)
             bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             now = np.flatnonzero(bucket % waves == wave)
-            now = now[np.argsort(bucket[now], kind="stable")]
+            now = now[np.argsort((bucket[now] << 32) | (key[now] & np.uint64(0xFFFFFFFF)).astype(np.int64))]
             rows = np.zeros(len(now), ENTRY)
             rows["key"], rows["id"], rows["small"], rows["old"], rows["sig"] = key[now] & np.uint64(0xFFFFFFFF), ids[doc[now]], small.view(np.uint8)[doc[now]], old[doc[now]], sig[doc[now]]
             some, at = np.unique(bucket[now], return_index=True)
@@ -318,11 +318,14 @@ def listed_pairs(parts: list, n: int, filtered: bool = True, keys: float = KEYS
         p = list_pairs(np.frombuffer(b"".join(t.column("entries").to_pylist()), ENTRY), filtered)
         return pa.table({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
 
+    def one(wave: int) -> DataFrame:
+        packed = reduce(DataFrame.unionByName, [f(buckets, wave, WAVES) for f in parts])
+        return cut(packed.repartition(-(-buckets // WAVES), "bucket").groupBy("bucket").applyInArrow(join, "a bigint, b bigint").distinct())
+
     out = []
     for wave in range(WAVES):
-        packed = reduce(DataFrame.unionByName, [f(buckets, wave, WAVES) for f in parts])
-        out.append(cut(packed.repartition(-(-buckets // WAVES), "bucket").groupBy("bucket").applyInArrow(join, "a bigint, b bigint").distinct()))
-        release(packed.sparkSession)
+        out.append(one(wave))
+        release(out[0].sparkSession)
     return reduce(DataFrame.unionByName, out).distinct()
 
 
