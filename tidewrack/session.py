@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
-import time
 import zipfile
 from pathlib import Path
 
@@ -20,6 +18,9 @@ CONF = {
     "spark.ui.enabled": "false",
 }
 
+#: Spark's setting that deletes the shuffle files of a query when it has ended.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build(app: str = "tidewrack", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the engine's settings; ``master`` only where none is set from outside."""
@@ -68,18 +69,15 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
-def release(spark: SparkSession) -> None:
-    """Has Spark delete the shuffle files of plans that nothing refers to any more, which it otherwise does at the driver's next collection of
-    garbage, maybe long after. For operators that work in several passes. What the first collection finds is only let go by the second."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def cut(df: DataFrame) -> DataFrame:
-    """Writes df once to the shared folder and reads it back, so that neither its cost nor a lost executor makes it be computed again."""
+    """Writes df once to the shared folder and reads it back, so that neither its cost nor a lost executor makes it be computed again. The
+    shuffle files of its plan are deleted at once: once it is written, nothing reads them."""
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a new plan, for which the setting holds
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
