@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewrack.session import cut, release, spread
+from tidewrack.session import cut, spread
 
 SHINGLE, K, RUN, KEYS, SMALL = 4, 128, 4, 48, 40
 #: Bits of a signature: ranges of the hash and orders in each.
@@ -322,11 +322,7 @@ def listed_pairs(parts: list, n: int, filtered: bool = True, keys: float = KEYS
         packed = reduce(DataFrame.unionByName, [f(buckets, wave, WAVES) for f in parts])
         return cut(packed.repartition(-(-buckets // WAVES), "bucket").groupBy("bucket").applyInArrow(join, "a bigint, b bigint").distinct())
 
-    out = []
-    for wave in range(WAVES):
-        out.append(one(wave))
-        release(out[0].sparkSession)
-    return reduce(DataFrame.unionByName, out).distinct()
+    return reduce(DataFrame.unionByName, [one(wave) for wave in range(WAVES)]).distinct()
 
 
 def candidates(df: DataFrame, min_chars: int, exhaustive: float | None = None) -> DataFrame:
