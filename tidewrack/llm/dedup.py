@@ -1,21 +1,25 @@
 """New batches against all history: rows that repeat an item, or nearly repeat a text, already accepted.
 
-The history is a folder of three tables: ``items`` (item, first row), ``entries`` (packed inverted-list entries of its texts, see sketch)
-and ``texts`` (class of equal texts, text, first row, pivot distances). A batch is sketched once, compared with the stored entries of the
-same buckets, and appended; no stored text is normalised, hashed or compared again unless a sketch points at it.
+The history is a folder with one folder per batch, of four tables: ``classes`` (class of equal texts, text, list keys and signature of its
+sketch, pivot distances), ``nodes`` (item or class, its first row, the first row of its set), ``merges`` (sets that the batch joined) and
+``refused``. A batch counts once its marker is there, the last file written; a batch that failed is written anew under its name, one that
+is complete is answered from what is stored. A batch is sketched once and appended; no stored text is normalised, hashed or sketched again,
+and stored texts are never compared with each other: stored sketches make list entries only for keys that the batch has too (told by a
+bit table of KEY_BITS bits, the same size for any batch; a full one costs time, loses nothing), and lists compare new with new and new with old.
 
 Pivots: the metric is the size of the symmetric difference of two sets of substrings. The pivots are the empty set and PIVOTS fixed
 disjoint sets that share out all substrings by their hash; a text's distances to them are known from its size and its number of values
 in each, which is what is stored. By the triangle inequality (summed, as the pivots are disjoint) two texts are at least
 sum |c_i - c'_i| apart, and texts of Jaccard similarity s and sizes n, n' are exactly (1 - s) / (1 + s) * (n + n') apart: pairs whose
-bound is larger are dropped without their texts being compared. No pair is lost by this. As a join by ranges of one such distance the bound
-prunes next to nothing at s = 0.6 (README), so candidates come from the inverted lists and the pivots prune those.
+bound is larger are dropped without their texts being compared. No pair is lost by this. Lists are joined by ranges of the distance to the
+empty set (see sketch); as a join by ranges of one such distance alone the bound prunes next to nothing at s = 0.6 (README).
 
 Rows link if they denote the same item of the same platform or if their texts are equal or similar. A row is refused if it links to an
-earlier row; it comes out with the first row of all that are linked to it over any number of links.
+earlier row; it comes out with the first row of all that are linked to it over any number of links. Where a later batch joins two sets,
+refused() gives the first row of the joined set for all rows, those of earlier batches too.
 
 Null identifiers denote no item, null and short texts are similar to none; such rows are accepted unless the other part links them.
-An empty batch or history gives no rows. Row numbers must be unique.
+An empty batch or history gives no rows. Row numbers must be unique, and those of a batch greater than those before.
 """
 
 from __future__ import annotations
@@ -30,7 +34,8 @@ from pyspark.sql import functions as F
 from tidewrack.llm import sketch
 from tidewrack.session import cut, spread
 
-PIVOTS, OVER = 128, 255
+#: Pivots, the count from which on one tells nothing, bits of the table of a batch's keys.
+PIVOTS, OVER, KEY_BITS = 128, 255, 2**26
 
 
 def item_of(platform: Column, native_id: Column, row_key: Column) -> Column:
@@ -64,16 +69,6 @@ def pivot_counts(texts: list[str]) -> list[bytes]:
     return out
 
 
-def with_pivots(texts: DataFrame) -> DataFrame:
-    """texts (id, text) with ``pivots``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pivot_counts(b.column(1).to_pylist()), pa.binary())], ["id", "text", "pivots"])
-
-    return texts.select("id", "text").mapInArrow(run, "id bigint, text string, pivots binary")
-
-
 def within_bound(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
     """Which pairs of rows of pivot counts can have a similarity of at least least. Counts of OVER and more make the pair pass."""
     x, y = x.astype(np.int64), y.astype(np.int64)
@@ -115,96 +110,166 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     raise RuntimeError(f"the components weren't found in {rounds} rounds")
 
 
-def refused(rows: DataFrame, near: DataFrame) -> DataFrame:
-    """(row_id_a, row_id_b): each refused row with the first row of its set. rows: (row_id, item, id), near: (a, b) pairs of ids."""
-    node = F.xxhash64(F.lit("item"), F.col("item"))
-    rows = cut(rows.select("row_id", F.when(F.col("item").isNotNull(), node).alias("i"), "id"))
-    # only what occurs more than once, or has a similar text, can link
-    items = rows.filter("i IS NOT NULL").groupBy("i").agg(F.min("row_id").alias("i_first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    both = near.select(F.col("a").alias("id"), F.col("b").alias("other")).unionAll(near.select(F.col("b").alias("id"), F.col("a").alias("other")))
-    classes = rows.filter("id IS NOT NULL").groupBy("id").agg(F.min("row_id").alias("id_first"), F.count("*").alias("n"))
-    lowest = both.join(classes.select(F.col("id").alias("other"), F.col("id_first").alias("f")), "other").groupBy("id").agg(F.min("f").alias("near_first"))
-    classes = classes.join(lowest, "id", "left").filter("n > 1 OR near_first IS NOT NULL").select("id", "id_first", "near_first")
-    linked = cut(rows.join(items, "i", "left").join(classes, "id", "left").filter("i_first IS NOT NULL OR id_first IS NOT NULL").select("row_id", F.when(F.col("i_first").isNotNull(), F.col("i")).alias("i"), F.when(F.col("id_first").isNotNull(), F.col("id")).alias("id"), F.least("i_first", "id_first", "near_first").alias("first")))
-    edges = linked.filter("i IS NOT NULL AND id IS NOT NULL").select(F.col("i").alias("u"), F.col("id").alias("v")).unionAll(near.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    roots = components(edges)
-    linked = linked.withColumn("node", F.coalesce("i", "id")).join(roots, "node", "left").select("row_id", "first", F.coalesce("root", "node").alias("root"))
-    start = linked.groupBy("root").agg(F.min("row_id").alias("row_id_a"))
-    return linked.filter("first < row_id").join(start, "root").select("row_id_a", F.col("row_id").alias("row_id_b"))
+def rows_of(df: DataFrame, min_chars: int) -> DataFrame:
+    """(row_id, i, id): the nodes of the row's item and text, null where there is none; df: (row_id, item, text)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [None if x is None or len(t := sketch.normalise(x)) < min_chars else sketch.digest(t, "") for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.int64())], ["row_id", "i", "id"])
 
-def repeats(df: DataFrame, least: float = 0.6, min_chars: int = 60) -> DataFrame:
-    """The refused rows of a whole table whose rows came in order of row_id; df: (row_id, item, text)."""
-    space = df.withColumn("space", F.lit(""))
-    pairs = cut(sketch.candidates(space, min_chars))
-    near = cut(near_pairs(pairs, cut(with_pivots(sketch.wanted_texts(pairs, space, min_chars))), least))
-    return refused(_rows(space, min_chars), near)
+    return spread(df.select("row_id", F.when(F.col("item").isNotNull(), F.xxhash64(F.lit("item"), F.col("item"))), "text")).mapInArrow(run, "row_id bigint, i bigint, id bigint")
 
 
-def _rows(space: DataFrame, min_chars: int) -> DataFrame:
-    """(row_id, item, id), id null where the text doesn't count."""
+def bit_table(held: DataFrame, bits: int) -> np.ndarray:
+    """A table of bits, eight to a byte, with that of every key of the sketches set. It is put together from pieces, each by one task."""
+    piece = min(bits, 2**16)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = [None if x is None or len(t := sketch.normalise(x)) < min_chars else sketch.digest(t, "") for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.int64())], ["row_id", "item", "id"])
+            at = np.unique(sketch.keys_of(b.column(0))[1] % np.uint64(bits)).astype(np.int64)
+            which, first = np.unique(at // piece, return_index=True)
+            parts = np.split((at % piece).astype("<u2"), first[1:]) if len(at) else []
+            yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], ["piece", "places"])
+
+    def together(t: pa.Table) -> pa.Table:
+        own = np.zeros(piece, bool)
+        own[np.frombuffer(b"".join(t.column("places").to_pylist()), "<u2")] = True
+        return pa.table({"piece": t.column("piece").slice(0, 1), "set": pa.array([np.packbits(own).tobytes()], pa.binary())})
 
-    return spread(space.select("row_id", "item", "text")).mapInArrow(run, "row_id bigint, item string, id bigint")
+    got = held.select("keys").mapInArrow(places, "piece int, places binary").groupBy("piece").applyInArrow(together, "piece int, set binary").collect()
+    table = np.zeros((bits // piece, piece // 8), np.uint8)
+    for r in got:
+        table[r["piece"]] = np.frombuffer(r["set"], np.uint8)
+    return table.reshape(-1)
 
 
 class History:
     """Accepted rows in a folder, extended batch by batch. Batches come in order of row_id."""
 
-    def __init__(self, spark, path: str, buckets: int = 256, least: float = 0.6, min_chars: int = 60) -> None:
-        self.spark, self.path, self.buckets, self.least, self.min_chars = spark, path.rstrip("/"), buckets, least, min_chars
+    CLASSES = "id bigint, text string, small tinyint, keys binary, sig binary, pivots binary"
+
+    def __init__(self, spark, path: str, least: float = sketch.LEAST, min_chars: int = 60) -> None:
+        self.spark, self.path, self.least, self.min_chars = spark, path.rstrip("/"), least, min_chars
+        self._Path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def batches(self) -> list[str]:
+        """Names of the complete batches, in order."""
+        at = self._Path(f"{self.path}/complete")
+        return sorted(x.getPath().getName() for x in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
     def _stored(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def check(self, batch: DataFrame) -> DataFrame:
+        paths = [f"{self.path}/batches/{b}/{name}" for b in self.batches()]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _write(self, batch: str, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/batches/{batch}/{name}"
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _classes(self, df: DataFrame, known: DataFrame | None) -> DataFrame:
+        """CLASSES of the texts of a batch without the known ones (id); a class may come once from each task that meets it."""
+        space = df.select(F.lit("").alias("space"), "text")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                texts = b.column("text").to_pylist()
+                for part in sketch._groups(list(range(len(texts))), 2000, lambda _: 1):
+                    at = slice(part[0], part[-1] + 1)
+                    rows = b.slice(part[0], len(part))
+                    small, keys, sig = sketch.sketched(texts[at], [""] * len(part))
+                    yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("text"), small, keys, sig, pa.array(pivot_counts(texts[at]), pa.binary())], ["id", "text", "small", "keys", "sig", "pivots"])
+
+        fresh = sketch.texts(space, self.min_chars)
+        if known is not None:
+            fresh = fresh.join(F.broadcast(known) if known.count() <= sketch._BROADCAST_ROWS else known, "id", "left_anti")
+        return fresh.mapInArrow(run, self.CLASSES)
+
+    def _near(self, fresh: DataFrame, old: DataFrame | None) -> DataFrame:
+        """(a, b): similar pairs of the new classes, and of new and old ones."""
+        n, size = fresh.agg(F.count("*"), F.coalesce(F.avg(F.length("keys")), F.lit(0.0))).first()
+        new = fresh.withColumn("old", F.lit(0).cast("byte"))
+        lists = sketch.long_lists(new, n)
+        parts, both = [lambda *a: sketch.entries(new, a[0], lists, *a[1:])], fresh
+        if old is not None:
+            wanted = self.spark.sparkContext.broadcast(bit_table(fresh, KEY_BITS))
+            stored = old.withColumn("old", F.lit(1).cast("byte"))
+            parts.append(lambda *a: sketch.entries(stored, a[0], lists, *a[1:], wanted))
+            both = both.unionByName(old)
+        pairs = cut(sketch.listed_pairs(parts, n, keys=2 * size / sketch._KEY_BYTES))
+        ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        few = ends.count() <= sketch._BROADCAST_ROWS
+        held = cut(both.select("id", "text", "pivots").join(F.broadcast(ends) if few else ends, "id", "left_semi").dropDuplicates(["id"]))
+        return cut(near_pairs(pairs, held, self.least))
+
+    def check(self, batch: DataFrame, name: str | None = None) -> DataFrame:
         """(row_id_a, row_id_b): the refused rows of a batch (row_id, item, text), each with the first row linked to it in the batch and the
-        history together; appends the batch. Sets of the history that only this batch connects keep their own first rows, as their rows
-        were already reported."""
-        batch = cut(batch.select("row_id", "item", "text"))
-        space = batch.withColumn("space", F.lit(""))
-        rows = cut(_rows(space, self.min_chars))
-        items = self._stored("items", "item string, first bigint")
-        texts = self._stored("texts", "id bigint, text string, pivots binary, first bigint")
-        old = self._stored("entries", "bucket int, entries binary")
-        new = cut(sketch.entries(space, self.buckets, self.min_chars))
-
-        def join(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
-            a, b = (np.frombuffer(b"".join(t.column("entries").to_pylist()), sketch.ENTRY) for t in (x, y))
-            p = sketch.list_pairs(np.concatenate([a, b]))
-            p = p[np.isin(p, np.unique(a["id"])).any(axis=1)]
-            return pa.table({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
-
-        touched = old.join(new.select("bucket").distinct(), "bucket", "left_semi")
-        pairs = cut(new.groupBy("bucket").cogroup(touched.groupBy("bucket")).applyInArrow(join, "a bigint, b bigint").distinct())
-        fresh = cut(with_pivots(sketch.texts(space, self.min_chars).groupBy("id").agg(F.first("text").alias("text")).join(texts, "id", "left_anti")))
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        held = texts.select("id", "text", "pivots").join(wanted, "id", "left_semi").unionByName(fresh)
-        near = cut(near_pairs(pairs, held, self.least))
-        # earlier rows that links lead to come in by their first rows
-        seen_items = items.join(rows.select("item").distinct(), "item", "left_semi").select(F.col("first").alias("row_id"), "item", F.lit(None).cast("bigint").alias("id"))
-        ids = rows.select("id").union(near.select("a")).union(near.select("b")).distinct()
-        seen_texts = texts.join(ids, "id", "left_semi").select(F.col("first").alias("row_id"), F.lit(None).cast("string").alias("item"), "id")
-        out = refused(rows.unionByName(seen_items).unionByName(seen_texts), near).join(rows.select(F.col("row_id").alias("row_id_b")), "row_id_b", "left_semi").distinct()
-        out = cut(out.select("row_id_a", "row_id_b"))
-        # a set is known by its first row: later batches then lead to it
-        first = rows.join(out.select(F.col("row_id_b").alias("row_id"), "row_id_a"), "row_id", "left").withColumn("first", F.coalesce("row_id_a", "row_id"))
-        known = first.filter("item IS NOT NULL").groupBy("item").agg(F.min("first").alias("first")).join(items, "item", "left_anti")
-        firsts = first.filter("id IS NOT NULL").groupBy("id").agg(F.min("first").alias("first"))
-        for name, df in (("items", cut(known)), ("entries", new), ("texts", cut(fresh.join(firsts, "id").select("id", "text", "pivots", "first")))):
-            df.write.mode("append").parquet(f"{self.path}/{name}")
+        history together; appends the batch under its name (the next number, if that is None)."""
+        done = self.batches()
+        name = name or f"{len(done):08d}"
+        refused = "row_id_a bigint, row_id_b bigint"
+        if name in done:
+            return self.spark.read.schema(refused).parquet(f"{self.path}/batches/{name}/refused")
+        rows = cut(rows_of(batch, self.min_chars))
+        ids = rows.select("id").filter("id IS NOT NULL").distinct()
+        stored = self._stored("classes", self.CLASSES) if done else None
+        fresh = self._write(name, "classes", self._classes(batch, cut(stored.select("id").join(ids, "id", "left_semi").distinct()) if done else None))
+        near = self._near(fresh, stored)
+
+        # nodes of the history that the batch touches, with the first rows of their sets as they are now
+        touched = rows.select(F.col("i").alias("node")).union(ids).union(near.select("a")).union(near.select("b")).filter("node IS NOT NULL").distinct()
+        old = self._stored("nodes", "node bigint, seen bigint, first bigint").join(touched, "node", "left_semi")
+        old = cut(self._now(old, "first"))
+        seen = lambda k: old.select(F.col("node").alias(k), F.col("seen").alias("s"))
+        first_of = lambda k: rows.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min("row_id").alias("f"), F.count("*").alias("n")).join(seen(k), k, "full_outer").select(k, F.least("s", "f").alias("f"), (F.col("s").isNotNull() | (F.col("n") > 1)).alias("linked"))
+        # only what was known, occurs more than once or has a similar text can link
+        items = first_of("i").filter("linked").select("i", F.col("f").alias("i_first"))
+        classes = cut(first_of("id"))
+        both = near.select(F.col("a").alias("id"), F.col("b").alias("other")).unionAll(near.select(F.col("b").alias("id"), F.col("a").alias("other")))
+        lowest = both.join(classes.select(F.col("id").alias("other"), F.col("f").alias("o")), "other").groupBy("id").agg(F.min("o").alias("near_first"))
+        classes = classes.join(lowest, "id", "left").filter("linked OR near_first IS NOT NULL").select("id", F.col("f").alias("id_first"), "near_first")
+        linked = rows.join(items, "i", "left").join(classes, "id", "left").filter("i_first IS NOT NULL OR id_first IS NOT NULL")
+        linked = cut(linked.select("row_id", F.when(F.col("i_first").isNotNull(), F.col("i")).alias("i"), F.when(F.col("id_first").isNotNull(), F.col("id")).alias("id"), F.least("i_first", "id_first", "near_first").alias("least")))
+        edges = linked.filter("i IS NOT NULL AND id IS NOT NULL").select(F.col("i").alias("u"), F.col("id").alias("v")).unionAll(near.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        roots = components(edges.unionAll(old.select(F.col("node").alias("u"), F.xxhash64(F.lit("set"), F.col("first")).alias("v"))))
+        at = lambda df: df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        linked = at(linked.withColumn("node", F.coalesce("i", "id"))).select("row_id", "least", "root")
+        sets = at(old).select("root", F.col("first").alias("row_id")).distinct()
+        start = cut(linked.select("root", "row_id").unionAll(sets).groupBy("root").agg(F.min("row_id").alias("start")))
+        placed = cut(linked.join(start, "root").select("row_id", "least", "start"))
+        out = self._write(name, "refused", placed.filter("least < row_id").select(F.col("start").alias("row_id_a"), F.col("row_id").alias("row_id_b")))
+        self._write(name, "merges", sets.join(start, "root").filter("row_id <> start").select(F.col("row_id").alias("u"), F.col("start").alias("v")))
+        firsts = rows.join(placed.select("row_id", "start"), "row_id", "left").select("row_id", F.coalesce("start", "row_id").alias("first"), F.explode(F.array("i", "id")).alias("node"))
+        nodes = firsts.filter("node IS NOT NULL").groupBy("node").agg(F.min("row_id").alias("seen"), F.min("first").alias("first"))
+        self._write(name, "nodes", nodes.join(old.select("node"), "node", "left_anti").select("node", "seen", "first"))
+        self._fs.create(self._Path(f"{self.path}/complete/{name}"), True).close()
         return out
 
+    def _now(self, df: DataFrame, column: str) -> DataFrame:
+        """df with first rows of sets replaced by those of the sets that they were joined to since."""
+        merges = self._stored("merges", "u bigint, v bigint")
+        if merges.isEmpty():
+            return df
+        now = components(merges).select(F.col("node").alias(column), "root")
+        return df.join(now, column, "left").withColumn(column, F.coalesce("root", column)).drop("root").select(*df.columns)
+
+    def refused(self) -> DataFrame:
+        """(row_id_a, row_id_b): the refused rows of all batches, each with the first row of its set as it is now."""
+        return self._now(self._stored("refused", "row_id_a bigint, row_id_b bigint"), "row_id_a")
+
     def drop(self) -> None:
         """Deletes the history."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._fs.delete(self._Path(self.path), True)
+
+
+def repeats(df: DataFrame, path: str, loads: list[tuple[int, int]], order: str = "row_id", least: float = sketch.LEAST, min_chars: int = 60) -> DataFrame:
+    """(row_id_a, row_id_b): the refused rows of a whole table (row_id, item, text, order), put into a history load by load; loads: the least
+    and greatest value of order of each. path: a folder for the history, deleted at the end."""
+    history = History(df.sparkSession, path, least, min_chars)
+    try:
+        for low, high in loads:
+            history.check(df.filter(F.col(order).between(low, high)))
+        return cut(history.refused())
+    finally:
+        history.drop()

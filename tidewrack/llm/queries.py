@@ -34,22 +34,36 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.unionByName(table(spark, sf_dir, "insights").select(F.lit("insights").alias("space"), F.col("summary").alias("text"), F.col("insight_no").alias("key")))
 
 
-def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of posts that repeat an item or a text of an earlier row, each with the first row of its set."""
+#: Problem 3: load batches are put into the history in so many runs of consecutive ones, as a backlog is.
+P3_LOADS = 3
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = table(spark, sf_dir, "posts")
-    df = posts.select("row_id", dedup.item_of(F.col("platform"), F.col("native_id"), F.col("id")).alias("item"), "text")
-    return dedup.repeats(df, P6_SIMILARITY, P6_CHARS)
+    return posts.select("load_batch", "row_id", dedup.item_of(F.col("platform"), F.col("native_id"), F.col("id")).alias("item"), "text")
+
+
+def _history_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/p3-{uuid.uuid4().hex}"
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of posts that repeat an item or a text of an earlier row, each with the first row of its set: load batches go into a history."""
+    df = _arrivals(spark, sf_dir)
+    low, high = df.agg(F.min("load_batch"), F.max("load_batch")).first()
+    ends = sorted({low + (high - low + 1) * k // P3_LOADS for k in range(P3_LOADS + 1)}) if low is not None else []
+    loads = [(a, b - 1) for a, b in zip(ends, ends[1:], strict=False)]
+    return dedup.repeats(df, _history_path(spark), loads, "load_batch", P6_SIMILARITY, P6_CHARS)
 
 
 def p3_last_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Refused rows of the last load batch against a history of all earlier ones: the incremental way of p3_found."""
-    posts = table(spark, sf_dir, "posts")
-    df = posts.select("load_batch", "row_id", dedup.item_of(F.col("platform"), F.col("native_id"), F.col("id")).alias("item"), "text")
-    last = posts.agg(F.max("load_batch")).first()[0]
-    history = dedup.History(spark, f"{shared_dir(spark).rstrip('/')}/p3-{uuid.uuid4().hex}", least=P6_SIMILARITY, min_chars=P6_CHARS)
+    """Refused rows of the last load batch against a history of all earlier ones."""
+    df = _arrivals(spark, sf_dir)
+    last = df.agg(F.max("load_batch")).first()[0]
+    history = dedup.History(spark, _history_path(spark), P6_SIMILARITY, P6_CHARS)
     try:
         history.check(df.filter(F.col("load_batch") < last))
-        return history.check(df.filter(F.col("load_batch") == last))
+        return cut(history.check(df.filter(F.col("load_batch") == last)))
     finally:
         history.drop()
 

@@ -177,6 +177,17 @@ def _groups(items: list, limit: int, weight) -> Iterator[list]:
         yield out
 
 
+def sketched(texts: list[str], spaces: list[str], exhaustive: float | None = None) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(small, keys, sig) of normalised texts: size, packed list keys and signature. Keys of different spaces differ."""
+    values, start = shingle_sets(texts)
+    doc, key = list_keys(values, start, exhaustive)
+    of = {x: xxhash.xxh3_64_intdigest(x) for x in set(spaces)}
+    key = mix(key ^ np.array([of[x] for x in spaces], np.uint64)[doc])
+    keys = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
+    at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)))]) * _KEY_BYTES
+    return pa.array(smallness(np.diff(start)).view(np.int8)), pa.array([keys[i:j] for i, j in zip(at, at[1:], strict=False)], pa.binary()), pa.array([s.tobytes() for s in signatures(values, start)], pa.binary())
+
+
 def sketches(df: DataFrame, min_chars: int, exhaustive: float | None = None) -> DataFrame:
     """(id, small, keys, sig): the sketch of each class of equal texts, repeats dropped within a task; df: (space, text)."""
 
@@ -188,17 +199,11 @@ def sketches(df: DataFrame, min_chars: int, exhaustive: float | None = None) ->
                 if text is None or len(t := normalise(text)) < min_chars or (k := digest(t, space)) in seen:
                     continue
                 seen.add(k)
-                fresh.append((k, xxhash.xxh3_64_intdigest(space), t))
+                fresh.append((k, space, t))
             if len(seen) > 2_000_000:  # only saves work: repeats over tasks are dropped in the lists
                 seen.clear()
             for part in _groups(fresh, _BATCH_CHARS, lambda x: len(x[2])):
-                values, start = shingle_sets([x[2] for x in part])
-                doc, key = list_keys(values, start, exhaustive)
-                key = mix(key ^ np.array([x[1] for x in part], np.uint64)[doc])
-                keys = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
-                at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(part)))]) * _KEY_BYTES
-                sig, small = signatures(values, start), smallness(np.diff(start)).view(np.int8)
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array(small), pa.array([keys[i:j] for i, j in zip(at, at[1:], strict=False)], pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], ["id", "small", "keys", "sig"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), *sketched([x[2] for x in part], [x[1] for x in part], exhaustive)], ["id", "small", "keys", "sig"])
 
     return spread(df.select("space", "text")).mapInArrow(run, SKETCH)
 
@@ -244,8 +249,8 @@ def cells(key: np.ndarray, ids: np.ndarray, lists: tuple[np.ndarray, np.ndarray]
 
 
 def entries(held: DataFrame, buckets: int, lists: tuple[np.ndarray, np.ndarray], wave: int = 0, waves: int = 1, wanted: object = None) -> DataFrame:
-    """(bucket, entries): packed entries of the sketches (id, small, keys, sig, old) in the buckets of one wave. wanted: a broadcast bit table;
-    only entries whose key is in it are made."""
+    """(bucket, entries): packed entries of the sketches (id, small, keys, sig, old) in the buckets of one wave. wanted: a broadcast table of
+    bits, eight to a byte; only entries whose key has its bit set are made."""
     sent = held.sparkSession.sparkContext.broadcast(lists)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +261,8 @@ def entries(held: DataFrame, buckets: int, lists: tuple[np.ndarray, np.ndarray],
             sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint64).reshape(len(ids), -1)
             doc, key = keys_of(b.column("keys"))
             if wanted is not None:
-                some = wanted.value[(key % np.uint64(len(wanted.value))).astype(np.int64)]
+                bit = (key % np.uint64(8 * len(wanted.value))).astype(np.int64)
+                some = (wanted.value[bit >> 3] >> (7 - (bit & 7)) & 1).astype(bool)
                 doc, key = doc[some], key[some]
             row, key = cells(key, ids[doc], sent.value)
             doc, key = doc[row], mix(key)
