@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewrack.llm import sketch
@@ -42,6 +42,8 @@ def item_of(platform: Column, native_id: Column, row_key: Column) -> Column:
     """The item an identifier denotes: platform and the bare identifier, in its own letter case, without address, prefix, parameters and
     space around it. Where native_id is null, that inside row_key (platform:identifier) counts."""
     raw = F.coalesce(native_id, F.regexp_extract(row_key, r"(?s)^[^:]*:(.*)$", 1))
+    # most are bare already; the patterns below would leave them as they are
+    bare_already = F.when(platform == "reddit", F.regexp_replace(raw, r"^[tT]\d_", "")).otherwise(raw)
     s = F.regexp_replace(raw, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
     plain = F.regexp_replace(F.regexp_replace(s, r"[?#].*$", ""), r"/+$", "")
     last = F.regexp_extract(plain, r"([^/]*)$", 1)
@@ -55,18 +57,16 @@ def item_of(platform: Column, native_id: Column, row_key: Column) -> Column:
         .when(platform.isin("github", "hackernews", "hnjobs"), first_of(number, plain))
         .otherwise(plain)
     )
+    bare = F.when(raw.rlike(r"^[A-Za-z0-9_-]+\z"), bare_already).otherwise(bare)
     return F.when(platform.isNotNull() & (bare != ""), F.concat(platform, F.lit("|"), bare))
 
 
-def pivot_counts(texts: list[str]) -> list[bytes]:
-    """Per text the number of its distinct substrings in each pivot, a byte each."""
-    out = []
-    for part in sketch._groups(texts, sketch._BATCH_CHARS, len):
-        values, start = sketch.shingle_sets(part)
-        doc = np.repeat(np.arange(len(part)), np.diff(start))
-        c = np.bincount(doc * PIVOTS + (values % np.uint64(PIVOTS)).astype(np.int64), minlength=len(part) * PIVOTS)
-        out += [x.tobytes() for x in np.minimum(c, OVER).astype(np.uint8).reshape(-1, PIVOTS)]
-    return out
+def pivot_counts(values: np.ndarray, start: np.ndarray) -> list[bytes]:
+    """Per set the number of its values in each pivot, a byte each."""
+    n = len(start) - 1
+    doc = np.repeat(np.arange(n), np.diff(start))
+    c = np.bincount(doc * PIVOTS + (values % np.uint64(PIVOTS)).astype(np.int64), minlength=n * PIVOTS)
+    return [x.tobytes() for x in np.minimum(c, OVER).astype(np.uint8).reshape(-1, PIVOTS)]
 
 
 def within_bound(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
@@ -93,17 +93,20 @@ def near_pairs(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """(node, root): the least node that each node of the edges (u, v) is connected with. Alternating large-star and small-star steps, whose
     number grows with the logarithm of the longest path; each step's edges are written to the shared folder. Raises if rounds don't do."""
-    now = cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first())
-    before = mark(now)
+
+    def marked(df: DataFrame) -> tuple[DataFrame, dict]:
+        mark = Observation()
+        done = cut(df.observe(mark, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.xxhash64("u", "v") % 1000003).alias("s")))
+        return done, mark.get
+
+    now, before = marked(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     for _ in range(rounds):
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
         large = both.filter("u > v").join(low, "v").select("u", F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u <> v").distinct()
-        now = cut(small)
-        after = mark(now)
+        now, after = marked(small)
         if after == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = after
@@ -175,11 +178,11 @@ class History:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 texts = b.column("text").to_pylist()
-                for part in sketch._groups(list(range(len(texts))), 2000, lambda _: 1):
-                    at = slice(part[0], part[-1] + 1)
-                    rows = b.slice(part[0], len(part))
-                    small, keys, sig = sketch.sketched(texts[at], [""] * len(part))
-                    yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("text"), small, keys, sig, pa.array(pivot_counts(texts[at]), pa.binary())], ["id", "text", "small", "keys", "sig", "pivots"])
+                at = 0
+                for part in sketch._groups(texts, sketch._BATCH_CHARS, len):
+                    rows, sets = b.slice(at, len(part)), sketch.shingle_sets(part)
+                    at += len(part)
+                    yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("text"), *sketch.sketched(*sets, [""] * len(part)), pa.array(pivot_counts(*sets), pa.binary())], ["id", "text", "small", "keys", "sig", "pivots"])
 
         fresh = sketch.texts(space, self.min_chars)
         if known is not None:

@@ -177,14 +177,13 @@ def _groups(items: list, limit: int, weight) -> Iterator[list]:
         yield out
 
 
-def sketched(texts: list[str], spaces: list[str], exhaustive: float | None = None) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """(small, keys, sig) of normalised texts: size, packed list keys and signature. Keys of different spaces differ."""
-    values, start = shingle_sets(texts)
+def sketched(values: np.ndarray, start: np.ndarray, spaces: list[str], exhaustive: float | None = None) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(small, keys, sig) of sets: size, packed list keys and signature. Keys of different spaces differ."""
     doc, key = list_keys(values, start, exhaustive)
     of = {x: xxhash.xxh3_64_intdigest(x) for x in set(spaces)}
     key = mix(key ^ np.array([of[x] for x in spaces], np.uint64)[doc])
     keys = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes()
-    at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)))]) * _KEY_BYTES
+    at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(spaces)))]) * _KEY_BYTES
     return pa.array(smallness(np.diff(start)).view(np.int8)), pa.array([keys[i:j] for i, j in zip(at, at[1:], strict=False)], pa.binary()), pa.array([s.tobytes() for s in signatures(values, start)], pa.binary())
 
 
@@ -203,7 +202,7 @@ def sketches(df: DataFrame, min_chars: int, exhaustive: float | None = None) ->
             if len(seen) > 2_000_000:  # only saves work: repeats over tasks are dropped in the lists
                 seen.clear()
             for part in _groups(fresh, _BATCH_CHARS, lambda x: len(x[2])):
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), *sketched([x[2] for x in part], [x[1] for x in part], exhaustive)], ["id", "small", "keys", "sig"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), *sketched(*shingle_sets([x[2] for x in part]), [x[1] for x in part], exhaustive)], ["id", "small", "keys", "sig"])
 
     return spread(df.select("space", "text")).mapInArrow(run, SKETCH)
 
