@@ -113,7 +113,7 @@ def test_events(spark):
     assert (stats["a"]["runs"], stats["a"]["blocks"], stats["a"]["avg_ms"]) == (2, 1, 200) and [r["check"] for r in telemetry.silent_checks(telemetry.check_stats(e)).collect()] == ["b"]
     assert [(str(r["day"]), r["runs"]) for r in telemetry.daily_runs(e, 3).collect()] == [("2026-08-01", 1), ("2026-08-02", 0), ("2026-08-03", 2)]
     assert json.loads(telemetry.metrics_payload(e).first()["payload"])["rules"][0]["rule"] == "r"
-    assert json.loads(telemetry.event_line("c", "x", 1, 5, "NG: [a] q\nNG: [b] r\nNG: [a] s", "t"))["rules"] == ["a", "b"]
+    assert json.loads(telemetry.event_line("c", "x", 1, 5, "NG: [a] q\nNG: [b] r\nNG: [a] s\nNG: []\nNG: [Not an id] x\n NG: [c]", "t"))["rules"] == ["a", "b", "a"]
     assert telemetry.daily_runs(e.limit(0)).count() == 0
 
 
@@ -135,3 +135,45 @@ def test_text_scans(spark):
     assert got == {"0001-a": ("0001", "採用", None), "0002-b": ("0001", "置換済み", "ADR-0001"), "bad": ("", "不明", None)}
     assert [r["status"] for r in textscan.by_status(textscan.records(adr, "name", "text")).collect()] == ["採用", "不明", "置換済み"]
     assert {(r["name"], r["fault"]) for r in textscan.record_faults(adr, "name", "text").collect()} == {("d/bad.md", f) for f in ("file name", "title", "status", "date", "headings")}
+
+
+def test_append_is_read_back(spark, tmp_path):
+    root, day = f"file://{tmp_path}", date(2026, 8, 2)
+    rows = spark.createDataFrame([("t3_1", "a", None), ("t3_2", "b|\n", "k")], "post_id string, text string, keyword string")
+    for part in (rows.limit(1), rows.filter("post_id = 't3_2'")):
+        landing.append(part, root, "reddit", day)
+    assert sorted(json.loads(r["line"])["post_id"] for r in landing.read(spark, root, "reddit").collect()) == ["t3_1", "t3_2"]
+    # a file of another writer stays, and days before since are left out by name
+    write(tmp_path, "reddit", "2026-08-03.jsonl", [record("9")])
+    landing.append(rows.limit(1), root, "reddit", date(2026, 8, 3))
+    assert landing.read(spark, root, "reddit", since=date(2026, 8, 3)).count() == 2
+    assert {str(r["file_date"]) for r in landing.read(spark, root, "reddit").collect()} == {"2026-08-02", "2026-08-03"}
+    table, counts = landing.load_all(spark, root, posts(spark))
+    got = {r["platform"]: tuple(r)[1:] for r in counts.collect()}
+    assert got["reddit"] == (2, 3, 1, 0) and got["github"] == (0, 0, 0, 0) and len(as_dict(table)) == 3
+
+
+def test_files_that_stop_being_text(spark, tmp_path):
+    write(tmp_path, "reddit", "2026-08-02.jsonl", [record("1")])
+    (tmp_path / "reddit" / "2026-08-03.jsonl").write_bytes(json.dumps(record("2")).encode() + b"\n\xff\xfe{\n" + json.dumps(record("3")).encode() + b"\n")
+    table, counts = landing.load_platform(spark, str(tmp_path), "reddit", posts(spark))
+    assert tuple(counts.first()) == ("reddit", 2, 2, 0, 1) and set(as_dict(table)) == {"reddit:t3_1", "reddit:t3_2"}
+
+
+def test_collectors():
+    got = files.collector({"bluesky": {"keywords": ["a"], "sort": "", "limit_per_keyword": 7}}, "bluesky")
+    assert got.keywords == ["a"] and got.options == {"sort": "latest", "limit_per_keyword": 7}
+    assert files.collector({"reddit": {"keywords": ["a"]}}, "reddit", dict.fromkeys(files.REQUIRED["reddit"], "x")).options["time_filter"] == "month"
+    for values, name in (({}, "bluesky"), ({"bluesky": {"keywords": ["a"], "limit_per_keyword": 0}}, "bluesky"), ({"reddit": {"keywords": ["a"]}}, "reddit"), ({"hnjobs": {"keywords": ["a"], "thread_kinds": "hiring"}}, "hnjobs")):
+        with pytest.raises(ValueError):
+            files.collector(values, name)
+    assert normalize.authors_of(["hiring", "freelancer"]) == ["whoishiring", "jon_north"]
+    with pytest.raises(ValueError):
+        normalize.authors_of(["x"])
+
+
+def test_layers(spark):
+    allowed = spark.createDataFrame([("domain", "domain"), ("adapter", "adapter"), ("adapter", "domain")], "layer string, imports string")
+    rows = [("domain.a", "adapter.db", False), ("adapter.source.x.y", "adapter.source.z", False), ("adapter.source.x.y", "adapter.source.x.q", False), ("adapter.db", "adapter.source.x", False), ("adapter.db", "domain.a", False), ("domain.a", "numpy", True), ("adapter.db", "numpy", True), ("tests", "adapter.db", False)]
+    got = {tuple(r) for r in textscan.layer_faults(spark.createDataFrame(rows, "module string, target string, outside boolean"), allowed, "adapter.source", ("adapter",)).collect()}
+    assert got == {("domain.a", "adapter.db", "layer"), ("adapter.source.x.y", "adapter.source.z", "horizontal"), ("adapter.db", "adapter.source.x", "horizontal"), ("domain.a", "numpy", "external")}

@@ -42,7 +42,7 @@ def test_queue_names():
     from datetime import datetime
 
     assert queue.batch_id({"20260801T000000"}, datetime(2026, 8, 1)) == "20260801T000001"
-    assert queue.instructions("{{a}} {{b}}", {"a": "1"}) == "1 {{b}}"
+    assert queue.instructions("{a} {b}", {"a": "1"}) == "1 {b}"
 
 
 def test_since():
@@ -53,3 +53,36 @@ def test_since():
     assert since_of("7d", datetime(2026, 8, 8)) == datetime(2026, 8, 1)
     with pytest.raises(ValueError):
         since_of("week", datetime(2026, 8, 8))
+
+
+def test_a_batch_there_and_back(spark, tmp_path):
+    from datetime import datetime
+
+    from tests.test_store import as_dict, posts
+    from tidewrack import schemas
+
+    ddl = lambda t: ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.fields)
+    insights, ledger = spark.createDataFrame([], ddl(schemas.INSIGHTS)), spark.createDataFrame([("20260801T000000", datetime(2026, 8, 1), 1, "v0", None, None)], ddl(schemas.BATCHES))
+    p = posts(spark, {"id": "bluesky:1", "text": "one", "collected_at": datetime(2026, 8, 2), "posted_at": datetime(2026, 8, 1, 5)}, {"id": "bluesky:2", "text": " "}, {"id": "bluesky:3", "text": "three"}, {"id": "github:4", "text": "other"})
+    vocabulary = [{"id": "other", "label": "O", "boundary": "all else"}]
+    folder = f"file://{tmp_path}/x"
+    made = queue.prepare(p, insights, ledger, folder, 1, "v1", "{batch_jsonl} {result_jsonl} {domain_ids}\n{domain_guide}", vocabulary, datetime(2026, 8, 1))
+    assert made.batch_id == "20260801T000001" and {k: r["extraction_status"] for k, r in as_dict(made.posts).items()} == {"bluesky:1": "batched", "bluesky:2": "skipped", "bluesky:3": "pending", "github:4": "pending"}
+    assert [json.loads(r[0]) for r in spark.read.text(made.batch_path).collect()] == [{"id": "bluesky:1", "platform": "bluesky", "text": "one", "posted_at": "2026-08-01T05:00:00", "matched_keywords": []}]
+    text = open(made.instruction_path.removeprefix("file://"), encoding="utf-8").read()
+    assert text == f"{made.batch_path} {made.result_path} other\n- `other` (O): all else"
+    with pytest.raises(FileNotFoundError):
+        queue.load(made.posts, insights, made.ledger, folder, made.batch_id, ["other"], datetime(2026, 8, 3))
+    with open(made.result_path.removeprefix("file://"), "w") as f:
+        f.write("\n".join([json.dumps(GOOD | {"post_id": "bluesky:1"}), "", "{", json.dumps(GOOD | {"post_id": "nobody"})]))
+    with pytest.raises(ValueError):
+        queue.load(made.posts, insights, ledger, folder, made.batch_id, ["other"], datetime(2026, 8, 3))
+    done = queue.load(made.posts, insights, made.ledger, folder, made.batch_id, ["other"], datetime(2026, 8, 3))
+    assert (done.accepted, done.rejected, done.cleared) == (1, 2, 0) and as_dict(done.posts)["bluesky:1"]["extraction_status"] == "done"
+    assert [(json.loads(r[0])["line"], json.loads(r[0])["reason"]) for r in spark.read.text(done.errors_path).collect()] == [(3, "json"), (4, "batch")]
+    one = done.insights.collect()[0]
+    assert (one["post_id"], one["extractor_version"], one["extracted_at"]) == ("bluesky:1", "v1", datetime(2026, 8, 3))
+    assert {r["batch_id"]: r["loaded_count"] for r in done.ledger.collect()} == {"20260801T000000": None, "20260801T000001": 1}
+    assert queue.prepare(p.filter("platform = 'github'"), insights, ledger, folder, 1, "v1", "", vocabulary, datetime(2026, 8, 1)) is None
+    again = queue.prepare(done.posts, done.insights, done.ledger, folder, 5, "v2", "", vocabulary, datetime(2026, 8, 4), reextract="v1")
+    assert spark.read.text(again.batch_path).count() == 1 and as_dict(again.posts)["bluesky:3"]["extraction_status"] == "pending"

@@ -47,8 +47,8 @@ def pain(c: Column) -> Column:
 
 
 def markdown_cell(c: Column) -> Column:
-    """A table cell: pipes escaped, line ends as spaces, null as nothing."""
-    return F.coalesce(F.regexp_replace(F.regexp_replace(c, r"\|", r"\\\\|"), r"\r\n|\r|\n", " "), F.lit(""))
+    """A table cell: pipes escaped, line ends as spaces, null and empty as -."""
+    return F.coalesce(F.nullif(F.translate(F.replace(c, F.lit("|"), F.lit("\\|")), "\r\n", "  "), F.lit("")), F.lit("-"))
 
 
 def signed(c: Column) -> Column:

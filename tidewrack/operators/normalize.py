@@ -118,6 +118,8 @@ def flatten_hackernews() -> dict[str, Column]:
 
 # Marks of thread titles and of the side a posting takes.
 THREAD_KINDS = (("hiring", "Who is hiring"), ("freelancer", "Freelancer? Seeking freelancer"), ("hired", "Who wants to be hired"))
+#: The accounts that open each kind of thread.
+THREAD_AUTHORS = {"hiring": ("whoishiring",), "freelancer": ("whoishiring", "jon_north"), "hired": ("whoishiring",)}
 SEEKING, SEEKING_CHARS = (("freelancer", "SEEKING FREELANCER"), ("work", "SEEKING WORK")), 120
 
 
@@ -194,6 +196,20 @@ def select_threads(threads: DataFrame, kinds: list[str], n: int) -> DataFrame:
     return rows.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= n).drop("rn")
 
 
+def authors_of(kinds: list[str]) -> list[str]:
+    """The accounts to list threads of, each once, in order of the kinds. Unknown kinds and an empty list raise."""
+    unknown = [k for k in kinds if k not in THREAD_AUTHORS]
+    if unknown or not kinds:
+        raise ValueError(f"unknown kinds of threads: {unknown}" if unknown else "no kinds of threads")
+    return list(dict.fromkeys(a for k in kinds for a in THREAD_AUTHORS[k]))
+
+
+def threads_per_kind(selected: DataFrame, kinds: list[str]) -> DataFrame:
+    """(kind, threads) for every wanted kind, 0 where there is none."""
+    wanted = selected.sparkSession.createDataFrame([(k,) for k in kinds], "kind string")
+    return wanted.join(selected.groupBy("kind").agg(F.count("*").alias("threads")), "kind", "left").select("kind", F.coalesce("threads", F.lit(0)).alias("threads"))
+
+
 def missing_kinds(selected: DataFrame, kinds: list[str]) -> DataFrame:
     """(kind): wanted kinds of which there is no thread."""
     return selected.sparkSession.createDataFrame([(k,) for k in kinds], "kind string").join(selected.select("kind").distinct(), "kind", "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewrack.functions.text import markdown_cell, signed, space_trim
 from tidewrack.functions.time import in_period
+from tidewrack.sources import paths
 
 
 def example(value: str, at: str, key: str) -> Column:
@@ -86,35 +87,51 @@ def opportunities(both: DataFrame, since: datetime, until: datetime) -> DataFram
     return rows.orderBy(F.desc_nulls_last("pain_level"), "post_id").select("post_id", "insight_type", "domain", "summary", "pain_level", "monetizable", "competitors", "url")
 
 
-#: Heading, columns with their titles, and which of them show a sign; the texts of an empty section and the title are arguments.
+# The sections of a report file: name, heading and titles of the columns (none: a list), and the text of an empty section.
 SECTIONS = (
-    ("daily_counts", ("day", "platform", "count")),
-    ("type_counts", ("insight_type", "count", "example_url")),
-    ("domain_counts", ("domain", "count", "change", "example_url")),
-    ("top_signals", ("post_id", "platform", "domain", "summary", "url")),
-    ("top_keywords", ("keyword", "count")),
-    ("keyword_pairs", ("keyword_a", "keyword_b", "count")),
-    ("new_competitors", ("product", "first_seen", "example_url")),
+    ("daily_counts", "新規観測件数（プラットフォーム別・日次）", ("日付", "platform", "件数")),
+    ("type_counts", "insight_type別の分布", ("insight_type", "件数", "代表投稿")),
+    ("domain_counts", "domain別の件数（前期間比）", ("domain", "件数", "前期間", "差分", "代表投稿")),
+    ("top_signals", "最重要シグナル（pain_level=3 かつ monetizable=true の全件）", ()),
+    ("top_keywords", "頻出キーワード", ("キーワード", "件数")),
+    ("keyword_pairs", "キーワード共起 上位", ("キーワードA", "キーワードB", "件数")),
+    ("new_competitors", "新規に観測された競合製品", ("製品", "初出", "代表投稿")),
 )
-
-
-def markdown_lines(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """(line): one table line per row, in the order of df."""
-    if "change" in columns:
-        df = df.withColumn("change", signed(F.col("count") - F.col("previous_count")))
-    cells = [markdown_cell(F.col(c).cast("string")) for c in columns]
-    return df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
-
-
-def render(parts: dict[str, DataFrame], since: datetime, until: datetime, empty: str = "該当なし") -> str:
-    """The report as Markdown; parts: the seven results by name (small: a report is read by people)."""
-    out = [f"# {since:%Y-%m-%d} – {until:%Y-%m-%d}", ""]
-    for name, columns in SECTIONS:
-        lines = [r["line"] for r in markdown_lines(parts[name], columns).collect()]
-        out += [f"## {name}", ""]
-        out += [f"| {' | '.join(columns)} |", f"|{'---|' * len(columns)}", *lines] if lines else [empty]
-        out.append("")
-    return "\n".join(out)
+TITLE, EMPTY = "定期レポート", "該当なし"
+NOTE = "この節までは決定論的な集計のみ。洞察・仮説の加筆は `prompts/report-insights.md` の作業指示に従い別セッションで行う。"
+
+
+def section_lines(name: str, df: DataFrame) -> DataFrame:
+    """(line): the lines of a section, in the order of df."""
+    cell, number = lambda c: markdown_cell(F.col(c)), lambda c: F.col(c).cast("string")
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    cells = {
+        "daily_counts": lambda: (day("day"), cell("platform"), number("count")),
+        "type_counts": lambda: (cell("insight_type"), number("count"), cell("example_url")),
+        "domain_counts": lambda: (cell("domain"), number("count"), number("previous_count"), signed(F.col("count") - F.col("previous_count")), cell("example_url")),
+        "top_keywords": lambda: (cell("keyword"), number("count")),
+        "keyword_pairs": lambda: (cell("keyword_a"), cell("keyword_b"), number("count")),
+        "new_competitors": lambda: (cell("product"), day("first_seen"), cell("example_url")),
+    }
+    if name in cells:
+        return df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells[name]()), F.lit(" |")).alias("line"))
+    summary = F.coalesce(F.when(F.col("summary") != "", markdown_cell(F.col("summary"))), F.col("post_id"))
+    first = F.concat(F.lit("- ["), cell("platform"), F.lit("/"), cell("domain"), F.lit("] "), summary)
+    return df.select(F.concat_ws("\n", first, F.when(F.col("url") != "", F.concat(F.lit("  "), F.col("url")))).alias("line"))
+
+
+def write(parts: dict[str, DataFrame], folder: str, since: datetime, until: datetime) -> str:
+    """Writes the report as one Markdown file in the folder, in place of one of the same days, and gives its path. parts: as build() gives
+    them; their lines are written by tasks and don't pass through the driver's memory."""
+    spark = next(iter(parts.values())).sparkSession
+    out: list[str | DataFrame] = [f"# {TITLE} {since:%Y-%m-%d} 〜 {until:%Y-%m-%d}\n\n{NOTE}\n\n"]
+    for name, heading, titles in SECTIONS:
+        lines = section_lines(name, parts[name])
+        head = f"| {' | '.join(titles)} |\n{'|---' * len(titles)}|\n" if titles else ""
+        out += [f"## {heading}\n\n", *([f"{EMPTY}\n"] if lines.isEmpty() else [head, lines]), "\n"]
+    path = f"{folder.rstrip('/')}/{file_name(since, until)}"
+    paths.write_one(spark, path, out)
+    return path
 
 
 def build(posts: DataFrame, insights: DataFrame, since: datetime, until: datetime, n: int = 10) -> dict[str, DataFrame]:

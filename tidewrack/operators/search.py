@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewrack.functions.text import contains_pattern, not_blank
 from tidewrack.functions.vectors import cosine
 from tidewrack.operators import graph, report
+from tidewrack.session import cut
 
 DEFAULT_MODEL = "multilingual-e5-large"
 Embedder = Callable[[Sequence[str]], list[list[float]]]
@@ -79,7 +80,7 @@ def embed(insights: DataFrame, embedder: Embedder, model: str, n: int, prefix: s
                 out += got
             yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.list_(pa.float32()))], ["post_id", "new"])
 
-    new = todo.mapInArrow(run, "post_id string, new array<float>").cache()
+    new = cut(todo.mapInArrow(run, "post_id string, new array<float>"))  # written, as a call of the embedder may be paid for
     sizes = {r["d"] for r in new.select(F.size("new").alias("d")).distinct().limit(2).collect()}
     have = {r["dimension"] for r in graph.dimensions(insights).limit(2).collect()}
     if len(sizes | have) > 1:

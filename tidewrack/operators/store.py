@@ -13,30 +13,23 @@ POST_COLUMNS = ("author_id", "author_handle", "text", "url", "lang", "posted_at"
 _KEPT = ("platform", "native_id", "extraction_status")
 
 
-def _union_of(lists: Column) -> Column:
-    """Distinct non-null entries of the collected arrays, in order."""
-    return F.array_sort(F.array_distinct(F.array_compact(F.flatten(lists))))
-
-
 def upsert_posts(existing: DataFrame | None, incoming: DataFrame, seq: str) -> DataFrame:
     """Posts by id: the last incoming row gives the normalised columns, the first known row the platform, the identifier and the status,
-    and keywords are the union of all. Null ids are left out. incoming: the columns of posts and seq
-    (any type that sorts).
+    and keywords are the union of all. Null ids are left out. incoming: the columns of posts and seq (any type that sorts, not null).
 
-    One shuffle by id. Keywords are collected as distinct values, so repeats of a hot id are combined before the shuffle and its group
-    holds its keywords, not its rows.
+    One aggregation by id. Each column is an aggregate of its own, so a query on the result reads only the columns it asks for; keywords are
+    collected as distinct lists, so repeats of a hot id are combined before the shuffle.
     """
     columns = ["id", *POST_COLUMNS, *_KEPT, "matched_keywords"]
     rows = incoming.select(*columns, F.col(seq).alias("_seq"))
+    order = F.col("_seq")
     if existing is not None:
         rows = existing.select(*columns, F.lit(None).cast(incoming.schema[seq].dataType).alias("_seq")).unionByName(rows)
-    rows = rows.filter(F.col("id").isNotNull())
-    # a stored row has no sequence: it comes before all others
-    order = F.struct(F.col("_seq").isNotNull(), "_seq")
-    last, first = F.max_by(F.struct(*POST_COLUMNS), order), F.min_by(F.struct(*_KEPT), order)
-    words = rows.select("id", F.explode("matched_keywords").alias("k")).groupBy("id").agg(F.array_sort(F.collect_set("k")).alias("matched_keywords"))
-    one = rows.groupBy("id").agg(last.alias("l"), first.alias("f")).join(words, "id", "left")
-    return one.select("id", "f.platform", "f.native_id", *(F.col(f"l.{c}").alias(c) for c in POST_COLUMNS), F.coalesce("matched_keywords", F.array().cast("array<string>")).alias("matched_keywords"), "f.extraction_status")
+        # a stored row has no sequence: it comes before all others
+        order = F.struct(F.col("_seq").isNotNull(), "_seq")
+    words = F.array_sort(F.array_distinct(F.array_compact(F.flatten(F.collect_set("matched_keywords")))))
+    one = rows.filter(F.col("id").isNotNull()).groupBy("id").agg(*[F.min_by(c, order).alias(c) for c in _KEPT], *[F.max_by(c, order).alias(c) for c in POST_COLUMNS], words.alias("matched_keywords"))
+    return one.select("id", "platform", "native_id", *POST_COLUMNS, "matched_keywords", "extraction_status")
 
 
 def load_counts(existing_ids: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -91,6 +84,40 @@ def collect_dedup(items: DataFrame, known: DataFrame) -> DataFrame:
     return flagged.withColumn("outcome", outcome).drop("_known").select(*items.columns, "outcome")
 
 
+def collect_run(tasks: DataFrame, items: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(new items, keyword hits, one row per task) of a run of searches, each failure kept apart from the rest.
+
+    tasks: (task_no, label, keyword, failed), failed: the search gave no answer. items: (task_no, item_no, native_id, state, ...) with state
+    ok, excluded (read, but not wanted) or malformed; those of failed tasks don't count. known: (native_id). Each task's row has fetched,
+    added, skipped, excluded, malformed and failed, tasks without items too; hits are (native_id, keyword), repeats once.
+    """
+    rows = items.join(tasks.filter(~F.col("failed")).select("task_no", "keyword"), "task_no")
+    judged = collect_dedup(rows.filter("state = 'ok' AND native_id IS NOT NULL"), known)
+    n = lambda c, name: F.coalesce(F.count_if(c), F.lit(0)).alias(name)
+    plain = rows.groupBy("task_no").agg(F.count("*").alias("fetched"), n(F.col("state") == "excluded", "excluded"), n((F.col("state") == "malformed") | (F.col("state") == "ok") & F.col("native_id").isNull(), "malformed"))
+    done = judged.groupBy("task_no").agg(n(F.col("outcome") == "new", "added"), n(F.col("outcome") != "new", "skipped"))
+    counts = ["fetched", "added", "skipped", "excluded", "malformed"]
+    summary = tasks.select("task_no", "label", "failed").join(plain, "task_no", "left").join(done, "task_no", "left").select("task_no", "label", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], "failed")
+    new = judged.filter("outcome = 'new'").drop("outcome", "state", "keyword")
+    return new, judged.filter("outcome = 'hit'").select("native_id", "keyword").distinct(), summary
+
+
+def run_line(label: Column, fetched: Column, added: Column, skipped: Column, excluded: Column, malformed: Column, context: Column | None = None) -> Column:
+    """The log's line of a task (fixed format, read again by telemetry.log_lines); counts of 0 behind the third are left out."""
+    more = lambda name, c: F.when(c > 0, F.format_string(f" / {name}: %d件", c)).otherwise("")
+    end = F.lit("") if context is None else F.coalesce(F.concat(F.lit(" ("), F.nullif(context, F.lit("")), F.lit(")")), F.lit(""))
+    return F.concat(F.format_string("[%s] 取得: %d件 / 新規: %d件 / スキップ: %d件", label, fetched, added, skipped), more("対象外", excluded), more("不正", malformed), end)
+
+
+def insert_records(existing: DataFrame, lines: DataFrame, platform: str, seq: str) -> tuple[DataFrame, DataFrame]:
+    """(posts after it, one row inserted, failed) of a collected batch of landing lines (line, seq): what can't be mapped has failed."""
+    from tidewrack.operators import normalize
+
+    good, bad = normalize.normalize(lines, platform)
+    counts = good.agg(F.count("*").alias("inserted")).crossJoin(bad.agg(F.count("*").alias("failed")))
+    return upsert_posts(existing, good, seq), counts
+
+
 def collect_summary(outcomes: DataFrame) -> DataFrame:
     """Per task: fetched, added, skipped."""
     return outcomes.groupBy("task_no").agg(F.count("*").alias("fetched"), F.count_if(F.col("outcome") == "new").alias("added"), F.count_if(F.col("outcome") != "new").alias("skipped"))

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewrack.functions.text import pain
+from tidewrack.functions.time import iso_utc
 
 DISPLAY_RUNS = 20
+#: Fixed value: the status of a decision record in force.
+ACTIVE = "採用"
 
 
 def keyword_quality(rows: DataFrame) -> DataFrame:
@@ -24,20 +27,23 @@ def parse_events(lines: DataFrame, line: str = "value") -> DataFrame:
     """
     e = F.from_json(line, "ts string, check string, context string, exit_code int, duration_ms long, violations long, rules array<string>")
     rows = lines.select(e.alias("e")).select("e.*").filter("ts IS NOT NULL AND check IS NOT NULL AND exit_code IS NOT NULL")
-    from tidewrack.functions.time import iso_utc
-
     rows = rows.withColumns({"ts_instant": iso_utc(F.col("ts")), "ts_day": F.substring("ts", 1, 10).try_cast("date")}).filter("ts_instant IS NOT NULL")
     none = F.array().cast("array<string>")
     return rows.withColumns({"context": F.coalesce("context", F.lit("unknown")), "duration_ms": F.coalesce("duration_ms", F.lit(0)), "violations": F.coalesce("violations", F.lit(0)), "rules": F.coalesce("rules", none)})
 
 
+def in_order(events: DataFrame) -> DataFrame:
+    """Events by time, as a listing shows them; statistics need no order."""
+    return events.orderBy("ts_instant", "ts", "check")
+
+
 def event_line(check: str, context: str, exit_code: int, duration_ms: int, output: str, ts: str) -> str:
-    """The JSON line of one run of a check; rules are the ids its output names, the rest of the output is dropped."""
+    """The JSON line of one run of a check; rules are the ids its output names, in order and as often, the rest of the output is dropped."""
     import json
     import re
 
-    rules = re.findall(r"(?m)^NG: \[([^\]]+)\]", output)
-    return json.dumps({"ts": ts, "check": check, "context": context, "exit_code": exit_code, "duration_ms": duration_ms, "violations": len(rules), "rules": sorted(set(rules))}, ensure_ascii=False)
+    rules = [x for x in re.findall(r"(?m)^NG: \[([a-z0-9-]*)\]", output) if x]
+    return json.dumps({"ts": ts, "check": check, "context": context, "exit_code": exit_code, "duration_ms": duration_ms, "violations": len(rules), "rules": rules}, ensure_ascii=False)
 
 
 def check_stats(events: DataFrame) -> DataFrame:
@@ -76,6 +82,7 @@ def metrics_payload(events: DataFrame, days: int = 30) -> DataFrame:
     return checks.crossJoin(rules).crossJoin(by_day).select(F.to_json(F.struct("checks", "rules", "daily")).alias("payload"))
 
 
+# The lines of a collector's log.
 START, DONE = r"^\[([^\]]+)\]\s*start:\s*(\S+)", r"^\[([^\]]+)\]\s*done:\s*(\S+)"
 RESULT = r"^\[([^:\]]+):([^\]]+)\]\s*取得:\s*(\d+)件\s*/\s*新規:\s*(\d+)件\s*/\s*スキップ:\s*(\d+)件"
 
@@ -122,9 +129,11 @@ def keyword_summary(results: DataFrame) -> DataFrame:
     return results.groupBy(name.alias("platform"), "keyword").agg(F.sum("fetched").alias("fetched"), F.sum("added").alias("added"), F.count("*").alias("runs")).orderBy("added", F.desc("fetched"), "platform", "keyword")
 
 
-def overview(posts: DataFrame, events: DataFrame) -> DataFrame:
-    """One row: posts collected, runs of checks, blocks."""
-    return posts.agg(F.count("*").alias("collected")).crossJoin(events.agg(F.count("*").alias("runs_total"), F.count_if(F.col("exit_code") != 0).alias("blocks_total")))
+def overview(posts: DataFrame, events: DataFrame, records: DataFrame | None = None) -> DataFrame:
+    """One row: posts collected, runs of checks, blocks, and decision records in force, where records (status) are given."""
+    active = None if records is None else records.agg(F.count_if(F.col("status") == ACTIVE).alias("records_active"))
+    one = posts.agg(F.count("*").alias("collected")).crossJoin(events.agg(F.count("*").alias("runs_total"), F.count_if(F.col("exit_code") != 0).alias("blocks_total")))
+    return one if active is None else one.crossJoin(active)
 
 
 def unrecorded(gates: DataFrame, stats: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def line_key(line: Column) -> Column:
     """What two lines must share to say the same: without bullets, punctuation and spaces."""
+    # fixed values: what doesn't count
     bare = F.regexp_replace(line, r"^\s*[-*>#]+\s*", "")
     return F.regexp_replace(F.regexp_replace(bare, r"[`*_、。，．,.:：]", ""), r"\s", "")
 
@@ -102,7 +103,7 @@ def by_status(items: DataFrame) -> DataFrame:
 
 def record_faults(docs: DataFrame, name: str, text: str, headings: tuple[str, ...] = HEADINGS) -> DataFrame:
     """(name, fault): file name, title, status, date or headings that don't have the form of a decision record."""
-    heads = F.transform(F.filter(F.split(F.regexp_replace(text, r"(?s)```.*?```", ""), "\n"), lambda x: x.startswith("## ")), lambda x: F.substring(x, 4, 999))
+    heads = F.transform(F.filter(F.split(F.regexp_replace(text, r"(?s)```.*?```", ""), "\n"), lambda x: x.startswith("## ")), lambda x: F.substring(x, F.lit(4), F.length(x)))
     status = F.regexp_extract(text, r"(?m)^- ステータス: (.*)$", 1)
     rules = (
         ("file name", F.col(name).rlike(r"(^|/)\d{4}-[a-z0-9-]+\.md$")),
@@ -117,3 +118,20 @@ def record_faults(docs: DataFrame, name: str, text: str, headings: tuple[str, ..
 def not_allowed(pairs: DataFrame, allowed: DataFrame) -> DataFrame:
     """Pairs (layer, imports) that the table of allowed pairs lacks."""
     return pairs.join(allowed, ["layer", "imports"], "left_anti")
+
+
+def layer_faults(imports: DataFrame, allowed: DataFrame, between: str, external: tuple[str, ...]) -> DataFrame:
+    """(module, target, fault) of imports (module, target, outside: the target is another library): layers that don't allow each other, parts
+    under the module named between (like a.b) that import each other or are imported by the rest of its layer, and libraries in layers other
+    than external. A layer is the first part of a name; names of no layer in allowed (layer, imports) are left out."""
+    part = lambda c, n: F.try_element_at(F.split(c, r"\."), F.lit(n))
+    depth = between.count(".") + 1
+    inside = lambda c: F.col(c).startswith(between + ".") | (F.col(c) == between)
+    rows = imports.withColumns({"layer": part(F.col("module"), 1), "imports": part(F.col("target"), 1)})
+    known = allowed.select("layer").distinct()
+    rows = rows.join(F.broadcast(known), "layer", "left_semi")
+    own = rows.filter(~F.col("outside")).join(F.broadcast(known.withColumnRenamed("layer", "imports")), "imports", "left_semi")
+    layers = not_allowed(own, allowed).withColumn("fault", F.lit("layer"))
+    across = own.filter((F.col("layer") == F.col("imports")) & inside("target")).filter(F.when(inside("module"), ~part(F.col("module"), depth + 1).eqNullSafe(part(F.col("target"), depth + 1))).otherwise(F.col("layer") == between.split(".")[0])).withColumn("fault", F.lit("horizontal"))
+    libraries = rows.filter(F.col("outside") & ~F.col("layer").isin(*external)).withColumn("fault", F.lit("external"))
+    return layers.select("module", "target", "fault").unionByName(across.select("module", "target", "fault")).unionByName(libraries.select("module", "target", "fault"))

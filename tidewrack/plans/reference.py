@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewrack.functions.text import pain, space_trim
+from tidewrack.functions.text import PAIN_WORDS, pain, space_trim
 from tidewrack.functions.time import ISO, epoch_iso, iso_utc
 from tidewrack.functions.vectors import cosine
 from tidewrack.operators import graph, normalize, queue, report, search, store, telemetry, textscan, validate
@@ -27,7 +27,8 @@ def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def posts_of(spark: SparkSession, sf: str) -> DataFrame:
-    return store.upsert_posts(None, raw_posts(spark, sf), "row_id")
+    # times are read after the upsert: once per post, and only where they are asked for
+    return store.upsert_posts(None, table(spark, sf, "posts"), "row_id").withColumn("posted_at", iso_utc(F.col("posted_at")))
 
 
 def insights_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,9 +218,9 @@ def opportunity(spark, sf):
     return report.opportunities(both_of(spark, sf), *EXTRACTED).drop("competitors")
 
 
-@_query("report_lines", _P + f"SELECT '| ' || insight_type || ' | ' || count(*) || ' | ' || coalesce({_EXAMPLE('url')}, '') || ' |' AS line FROM b WHERE {_IN('extracted_at', EXTRACTED)} GROUP BY insight_type")
+@_query("report_lines", _P + f"SELECT '| ' || insight_type || ' | ' || count(*) || ' | ' || coalesce({_EXAMPLE('url')}, '-') || ' |' AS line FROM b WHERE {_IN('extracted_at', EXTRACTED)} GROUP BY insight_type")
 def report_lines(spark, sf):
-    return report.markdown_lines(report.type_counts(both_of(spark, sf), *EXTRACTED), ("insight_type", "count", "example_url"))
+    return report.section_lines("type_counts", report.type_counts(both_of(spark, sf), *EXTRACTED))
 
 
 # graph
@@ -426,14 +427,22 @@ def epoch_to_iso(spark, sf):
     return table(spark, sf, "events").select("event_id", epoch_iso(F.col("event_id") * 1000003).alias("iso"))
 
 
-@_query("keyword_quality", "WITH k AS (SELECT unnest(matched_keywords) AS keyword, regexp_matches(coalesce(text, ''), '(?i)\\b(i tried|doesn.t work|does not work|any advice|too slow|not working|can.t get|struggl|annoying|frustrat|failed to|keeps failing|help me|wish there was|stuck on|no idea why)\\b') AS p FROM posts WHERE platform = 'bluesky') SELECT keyword, count(*) AS count, count(*) FILTER (p) AS pain_count, count(*) FILTER (p)::DOUBLE / count(*) AS pain_rate FROM k GROUP BY 1")
+#: No post of the tables voices trouble: of every fifth the text gets a sentence that does.
+_TROUBLE_SQL = "CASE WHEN row_id % 5 = 0 THEN text || ' Any advice?' ELSE text END"
+
+
+def troubled(spark, sf):
+    return table(spark, sf, "posts").withColumn("text", F.expr(_TROUBLE_SQL))
+
+
+@_query("keyword_quality", f"WITH k AS (SELECT unnest(matched_keywords) AS keyword, regexp_matches(coalesce({_TROUBLE_SQL}, ''), '(?i)\\b({'|'.join(PAIN_WORDS)})\\b') AS p FROM posts WHERE platform = 'bluesky') SELECT keyword, count(*) AS count, count(*) FILTER (p) AS pain_count, count(*) FILTER (p)::DOUBLE / count(*) AS pain_rate FROM k GROUP BY 1")
 def keyword_quality(spark, sf):
-    return telemetry.keyword_quality(store.keyword_rows(table(spark, sf, "posts"), "bluesky"))
+    return telemetry.keyword_quality(store.keyword_rows(troubled(spark, sf), "bluesky"))
 
 
-@_query("pain_texts", "SELECT row_id FROM posts WHERE regexp_matches(text, '(?i)\\b(i tried|doesn.t work|does not work|any advice|too slow|not working|can.t get|struggl|annoying|frustrat|failed to|keeps failing|help me|wish there was|stuck on|no idea why)\\b')")
+@_query("pain_texts", f"SELECT row_id FROM (SELECT row_id, {_TROUBLE_SQL} AS text FROM posts) WHERE regexp_matches(text, '(?i)\\b({'|'.join(PAIN_WORDS)})\\b')")
 def pain_texts(spark, sf):
-    return table(spark, sf, "posts").filter(pain(F.col("text"))).select("row_id")
+    return troubled(spark, sf).filter(pain(F.col("text"))).select("row_id")
 
 
 @_query("check_stats", f"WITH {_EVENTS} SELECT \"check\", count(*) AS runs, count(*) FILTER (exit_code <> 0) AS blocks, CAST(sum(violations) AS BIGINT) AS violations, CAST(sum(duration_ms) AS BIGINT) AS total_ms, count(*) FILTER (exit_code <> 0)::DOUBLE / count(*) AS block_rate, CAST(round_even(sum(duration_ms)::DOUBLE / count(*), 0) AS BIGINT) AS avg_ms FROM e GROUP BY 1")
@@ -531,9 +540,13 @@ def dup_lines(spark, sf):
     return textscan.repeated_lines(table(spark, sf, "documents"), "doc_id", "text").select("line_key", "documents", "first_key")
 
 
-@_query("secret_scan", f"WITH {_LINES} SELECT doc_id AS \"key\", CAST(line_no AS INT) AS line_no, label FROM l, (VALUES {', '.join(f'({chr(39)}{n}{chr(39)}, {chr(39)}{p}{chr(39)})' for n, p in textscan.SECRETS)}) s(label, pattern) WHERE regexp_matches(line, pattern)")
+#: No document of the tables holds a secret: some get one, by their number.
+_KEYS = "CASE doc_id % 6 WHEN 0 THEN 'sk-ant-' || repeat('a', 24) WHEN 1 THEN 'AIza' || repeat('b', 35) WHEN 2 THEN 'ghp_' || repeat('c', 36) WHEN 3 THEN '-----BEGIN RSA PRIVATE KEY-----' WHEN 4 THEN 'x=abcd-ef01-ghij-23kl;' ELSE '123e4567-e89b-12d3-a456-426614174000' END"
+
+
+@_query("secret_scan", f"WITH {_LINES.replace('FROM documents', f'FROM (SELECT doc_id, text || chr(10) || {_KEYS} AS text FROM documents)')} SELECT doc_id AS \"key\", CAST(line_no AS INT) AS line_no, label FROM l, (VALUES {', '.join(f'({chr(39)}{n}{chr(39)}, {chr(39)}{p}{chr(39)})' for n, p in textscan.SECRETS)}) s(label, pattern) WHERE regexp_matches(line, pattern)")
 def secret_scan(spark, sf):
-    return textscan.secrets(table(spark, sf, "documents"), "doc_id", "text")
+    return textscan.secrets(table(spark, sf, "documents").withColumn("text", F.expr(f"text || chr(10) || {_KEYS}")), "doc_id", "text")
 
 
 @_query("path_kinds", "SELECT file_name AS path, CASE WHEN regexp_matches(file_name, '(^|.*/)[^/]*-collector/(data|state|reports)/') THEN 'collected' WHEN regexp_matches(file_name, '(^|/)\\.env\\.(example|sample)$') THEN NULL WHEN regexp_matches(file_name, '(^|/)\\.env(\\.[^/]*)?$') THEN 'environment' END AS kind FROM (SELECT DISTINCT file_name FROM bluesky_lines)")

@@ -35,3 +35,16 @@ def migrate(df, table: str, version: int):
             if c not in df.columns:
                 df = df.withColumn(c, F.lit(None).cast(types[c].dataType))
     return df
+
+
+def upgrade(tables: dict, versions, now) -> tuple[dict, object, list[int]]:
+    """(tables, versions, applied): tables by name brought from the version that versions (SCHEMA_VERSION) records to the latest, and a row
+    added for each step taken at the time now. Steps already recorded aren't taken again; no step gives everything back unchanged."""
+    from pyspark.sql import functions as F
+
+    at = versions.agg(F.max("version")).first()[0] or 0
+    steps = [(v, now, note) for v, note, _ in MIGRATIONS if v > at]
+    if not steps:
+        return tables, versions, []
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SCHEMA_VERSION.fields)
+    return {n: migrate(df, n, at) for n, df in tables.items()}, versions.unionByName(versions.sparkSession.createDataFrame(steps, ddl)), [s[0] for s in steps]

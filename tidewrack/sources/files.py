@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -93,3 +95,36 @@ def vocabulary(spark: SparkSession, entries: list[dict]) -> DataFrame:
     if not all(ids) or len(set(ids)) < len(ids):
         raise ValueError("ids of a vocabulary must be there and differ")
     return spark.createDataFrame([(e["id"], e.get("label") or e["id"], e.get("boundary")) for e in entries], "id string, label string, boundary string")
+
+
+@dataclass(frozen=True)
+class Collector:
+    """A collector's settings: keywords, and its options with their values."""
+
+    name: str
+    keywords: list[str]
+    options: dict
+
+
+# The options of each collector with their defaults, and the settings that must come from the environment.
+COLLECTORS = {
+    "bluesky": {"sort": "latest", "limit_per_keyword": 50},
+    "youtube": {"order": "relevance", "max_results_per_keyword": 25, "region_code": "JP", "relevance_language": "ja"},
+    "hackernews": {"tags": "(story,comment)", "hits_per_page": 50},
+    "hnjobs": {"thread_kinds": ["hiring", "freelancer"], "thread_limit": 3, "hits_per_page": 50},
+    "github": {"qualifiers": "is:issue", "per_page": 50},
+    "reddit": {"sort": "new", "time_filter": "month", "limit_per_keyword": 50},
+}
+REQUIRED = {"youtube": ("YOUTUBE_API_KEY",), "reddit": ("REDDIT_CLIENT_ID", "REDDIT_CLIENT_SECRET", "REDDIT_USER_AGENT")}
+
+
+def collector(values: dict, name: str, environment: dict[str, str] | None = None) -> Collector:
+    """A collector's settings out of a configuration given as Python values (name: {keywords, options}). Without keywords, with an option of
+    the wrong kind or without a required setting of the environment it raises. The environment's values aren't kept."""
+    missing = [k for k in REQUIRED.get(name, ()) if not (environment or {}).get(k)]
+    if missing:
+        raise ValueError(f"{name} needs {', '.join(missing)}")
+    own = values.get(name) or {}
+    if not own.get("keywords"):
+        raise ValueError(f"{name} has no keywords")
+    return Collector(name, list(own["keywords"]), {k: option(own, k, d, type(d)) for k, d in COLLECTORS[name].items()})

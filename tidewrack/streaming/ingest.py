@@ -7,40 +7,35 @@ stream's state.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewrack.operators import normalize, store
+from tidewrack.sources import paths
 
 ORDERED = "id string, platform string, native_id string, author_id string, author_handle string, text string, url string, lang string, posted_at timestamp_ntz, collected_at timestamp_ntz, matched_keywords array<string>, metrics string, raw string, extraction_status string, seq string"
 
 
 class Table:
-    """A table as numbered Parquet versions with a pointer to the current one; a new version is written beside the old and then pointed to."""
+    """A table as numbered Parquet versions; the greatest one that is complete counts (Spark's mark is written last). A new version is written
+    beside the old ones, of which the last stays for readers that are under way."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
         self.spark, self.path, self.schema = spark, path, schema
 
-    def version(self) -> int:
-        try:
-            with open(os.path.join(self.path, "CURRENT")) as f:
-                return int(f.read())
-        except FileNotFoundError:
-            return -1
+    def versions(self) -> list[int]:
+        names = [p.rsplit("/", 1)[-1] for p in paths.listed(self.spark, self.path)]
+        return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and paths.exists(self.spark, f"{self.path}/{n}/_SUCCESS"))
 
     def read(self) -> DataFrame:
-        v = self.version()
-        return self.spark.createDataFrame([], self.schema) if v < 0 else self.spark.read.schema(self.schema).parquet(f"{self.path}/v{v}")
+        v = self.versions()
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{v[-1]}") if v else self.spark.createDataFrame([], self.schema)
 
     def write(self, df: DataFrame) -> None:
-        v = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        tmp = os.path.join(self.path, f"CURRENT.{v}")
-        with open(tmp, "w") as f:
-            f.write(str(v))
-        os.replace(tmp, os.path.join(self.path, "CURRENT"))
+        v = self.versions()
+        df.write.mode("overwrite").parquet(f"{self.path}/v{v[-1] + 1 if v else 0}")
+        for old in v[:-1]:
+            paths.delete(self.spark, f"{self.path}/v{old}")
 
 
 def merged(posts: DataFrame, incoming: DataFrame) -> DataFrame:
