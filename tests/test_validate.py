@@ -30,6 +30,17 @@ def test_rules(spark):
     assert len(got) == len(want) and got[0]["competitors"] == ["A"] and got[1]["domain"] is None and got[1]["summary"] is None
 
 
+def test_only_one_value_on_a_line(spark):
+    from pyspark.sql import functions as F
+
+    from tidewrack.functions.json import parsed
+
+    fine = ['{"a": 1}', ' {"a": [1, {}]} ', "[1]", "1", "null", '"x"', "true"]
+    bad = ["", " ", '{"a": 1} x', '{"a": 1}]', '{"a": 1}}', '{"a": 1}, 2', '{"a": 1}, "b": 2', "1 2", "{", '{"a": 1}] [1', '{"a": 1}} {', None, "1, 2", "NaN"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(fine + bad)], "i int, x string")
+    assert {r["i"] for r in rows.filter(parsed(F.col("x")).isNotNull()).collect()} == set(range(len(fine)))
+
+
 def test_batch(spark):
     lines = [json.dumps(GOOD | {"post_id": k} | o) for k, o in (("a", {"pain_level": 9}), ("a", {}), ("a", {}), ("b", {}))]
     accepted, rejected = validate.load(frame(spark, lines), spark.createDataFrame([("a",)], "id string"), ["other"])

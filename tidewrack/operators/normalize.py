@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewrack.functions.json import parsed
 from tidewrack.functions.text import or_null
 from tidewrack.functions.time import epoch_iso, iso_utc
 
@@ -52,7 +53,7 @@ def normalize(lines: DataFrame, platform: str, line: str = "line") -> tuple[Data
     lack the identifier are rejects."""
     p = PLATFORMS[platform]
     rest = [c for c in lines.columns if c != line]
-    v = F.try_parse_json(line)
+    v = parsed(F.col(line))
     rows = lines.filter(F.length(F.regexp_replace(line, r"\s", "")) > 0).withColumns({"_v": v, "_r": F.from_json(line, f"{p.fields}, {_COMMON}", {"mode": "PERMISSIVE"})})
     object_ = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
     key_ok = object_ & F.coalesce((F.schema_of_variant(F.try_variant_get("_v", f"$.{p.key}", "variant")) == "STRING") & (F.col(f"_r.{p.key}") != ""), F.lit(False))

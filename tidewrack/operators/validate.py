@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewrack.functions.json import parsed
 from tidewrack.functions.text import strip
 
 # The types of insights.
@@ -23,7 +24,7 @@ def judged(lines: DataFrame, domains: list[str], line: str = "line") -> DataFram
     Rules in order, the first that fails is the reason: JSON, object, post_id, insight_type, domain, summary, pain_level, monetizable,
     competitors, confidence. Booleans are no numbers and 2.0 is no whole number.
     """
-    v = F.try_parse_json(line)
+    v = parsed(F.col(line))
     rows = lines.filter(F.length(strip(F.col(line))) > 0).withColumn("v", v)
     text = lambda f: F.when(_kind(F.col("v"), f) == "STRING", strip(F.try_variant_get("v", f"$.{f}", "string")))
     is_number = lambda f: _kind(F.col("v"), f).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewrack.plans import general, reference
+from tidewrack.plans import general, made, reference
 
-MODULES = (reference, general)
+MODULES = (reference, made, general)
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def merged(posts: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def incoming(lines: DataFrame, platform: str) -> tuple[DataFrame, DataFrame]:
     """(posts with seq, rejects) of lines (line, file, m)."""
-    rows = lines.filter(F.col("file").rlike(rf"/{platform}/[^/]*$")).withColumn("name", F.regexp_extract("file", r"([^/]*)$", 1))
+    rows = lines.filter(F.col("file").rlike(rf"/{platform}/[^/]*\.jsonl(/[^/]*)?$")).withColumn("name", F.regexp_extract("file", r"([^/]*\.jsonl(?:/[^/]*)?)$", 1))
     good, bad = normalize.normalize(rows, platform)
     order = F.concat_ws("|", "name", F.lpad(F.col("m").cast("string"), 20, "0"))
     return good.withColumn("seq", order).drop("file", "m", "name"), bad
@@ -59,7 +59,7 @@ def incoming(lines: DataFrame, platform: str) -> tuple[DataFrame, DataFrame]:
 
 def run(spark: SparkSession, root: str, table: Table, checkpoint: str, rejects: str | None = None, platforms: tuple[str, ...] = tuple(normalize.PLATFORMS)) -> None:
     """Takes all new files under root into the table and returns."""
-    lines = spark.readStream.schema("value string").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").text(root)
+    lines = spark.readStream.schema("value string").option("recursiveFileLookup", "true").text(root)
     lines = lines.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
 
     def each(batch: DataFrame, number: int) -> None:
