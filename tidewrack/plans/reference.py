@@ -49,7 +49,7 @@ def events_of(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     rule = F.concat(F.lit("r"), F.get_json_object("props", "$.k").cast("int") % 5)
     at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return e.select(F.concat_ws("-", "event_type", F.get_json_object("props", "$.k").cast("int") % 20).alias("check"), F.when(F.col("value") > 150, 1).otherwise(0).alias("exit_code"), F.floor(F.col("value") * 10).cast("bigint").alias("duration_ms"), F.lit(1).cast("bigint").alias("violations"), F.array(rule).alias("rules"), at.alias("ts"), F.col("ts").alias("ts_instant"), F.to_date("ts").alias("ts_day"))
+    return e.select(F.concat_ws("-", "event_type", F.get_json_object("props", "$.k").cast("int") % 20).alias("check"), F.when(F.col("value") > 250, 1).otherwise(0).alias("exit_code"), F.floor(F.col("value") * 10).cast("bigint").alias("duration_ms"), F.lit(1).cast("bigint").alias("violations"), F.array(rule).alias("rules"), at.alias("ts"), F.col("ts").alias("ts_instant"), F.to_date("ts").alias("ts_day"))
 
 
 _G = lambda c, i, d="": f"coalesce(nullif(regexp_extract({c}, '{ISO}', {i}), ''), '{d}')"
@@ -80,7 +80,7 @@ _PAIRS = "kw AS (SELECT DISTINCT id, posted_at, collected_at, k FROM (SELECT id,
 _MENTIONS = f"m AS (SELECT * FROM (SELECT b.*, {_TRIM('c')} AS product FROM (SELECT *, unnest(competitors) AS c FROM b) b) WHERE length(product) > 0)"
 _EDGE = lambda st, s, dt, d, k, w, o, src: f"SELECT '{st}' AS src_type, {s} AS src_id, '{dt}' AS dst_type, {d} AS dst_id, '{k}' AS edge_type, CAST({w} AS FLOAT) AS weight, {o} AS observed_at FROM {src} GROUP BY {s}, {d}"
 _VEC = f"v AS (SELECT post_id, embedding::DOUBLE[] AS e FROM insights WHERE embedding_model = '{MODEL}' AND len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0)))"
-_EVENTS = "e AS (SELECT event_type || '-' || (CAST(json_extract_string(props, '$.k') AS INT) % 20) AS \"check\", CASE WHEN value > 150 THEN 1 ELSE 0 END AS exit_code, CAST(floor(value * 10) AS BIGINT) AS duration_ms, 1 AS violations, 'r' || (CAST(json_extract_string(props, '$.k') AS INT) % 5) AS rule, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, ts AS ts_instant, ts::DATE AS day FROM events)"
+_EVENTS = "e AS (SELECT event_type || '-' || (CAST(json_extract_string(props, '$.k') AS INT) % 20) AS \"check\", CASE WHEN value > 250 THEN 1 ELSE 0 END AS exit_code, CAST(floor(value * 10) AS BIGINT) AS duration_ms, 1 AS violations, 'r' || (CAST(json_extract_string(props, '$.k') AS INT) % 5) AS rule, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, ts AS ts_instant, ts::DATE AS day FROM events)"
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -415,9 +415,12 @@ def normalize_hackernews(spark, sf):
     return posts.select("id", "author_id", "text", "url", "posted_at", F.get_json_object("metrics", "$.points").cast("bigint").alias("points"), F.get_json_object("metrics", "$.item_type").alias("item_type"))
 
 
-@_query("normalize_bluesky")
+_J = lambda f: f"json_extract_string(line, '$.{f}')"
+
+
+@_query("normalize_bluesky", f"SELECT file_name, line_no, 'bluesky:' || {_J('post_id')} AS id, 'bluesky' AS platform, {_J('post_id')} AS native_id, nullif({_J('author_did')}, '') AS author_id, nullif({_J('author_handle')}, '') AS author_handle, coalesce({_J('text')}, '') AS text, nullif({_J('url')}, '') AS url, nullif(CASE json_type(line, '$.lang') WHEN 'VARCHAR' THEN {_J('lang')} WHEN 'ARRAY' THEN {_J('lang[0]')} END, '') AS lang, {iso_sql(_J('created_at'))} AS posted_at, {iso_sql(_J('collected_at'))} AS collected_at, CASE WHEN coalesce({_J('keyword')}, '') = '' THEN [] ELSE [{_J('keyword')}] END AS matched_keywords, 'pending' AS extraction_status FROM (SELECT * FROM bluesky_lines WHERE json_valid(line)) WHERE json_type(line) = 'OBJECT' AND json_type(line, '$.post_id') = 'VARCHAR' AND {_J('post_id')} <> ''")
 def normalize_bluesky(spark, sf):
-    """Landing lines as posts; SQL has no strict test of JSON lines here, so this is tested against Python."""
+    """Landing lines as posts."""
     posts, _ = normalize.normalize(table(spark, sf, "bluesky_lines").select("file_name", "line_no", "line"), "bluesky")
     return posts.drop("raw", "metrics")
 
