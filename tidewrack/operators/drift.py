@@ -32,6 +32,7 @@ TYPES = {"string": 1, "number": 2, "boolean": 4, "array": 8, "object": 16}
 #: A pair counts as renamed from this likeness on.
 MIN_LIKENESS = 0.6
 _FLUSH = 50_000
+_WORD, _OTHER, _DIGIT = re.compile(r"\w*"), re.compile(r"[^\w\s]"), re.compile(r"\d")
 
 
 def type_bit(v: object) -> int:
@@ -41,11 +42,14 @@ def type_bit(v: object) -> int:
 
 
 def content_features(v: object, path: str = "") -> Iterator[str]:
-    """What a value looks like: keys of objects, and for texts their length, leading shape and leading word."""
+    """What a value looks like: keys of objects, and for texts their length, first word, and the kinds of characters they are made of (the
+    shares of letters and digits, and which other characters there are)."""
     if isinstance(v, str):
         yield f"{path}l{len(v) if len(v) < 5 else round(2 * math.log2(len(v)))}"
-        yield path + "w" + re.split(r"[^\w]", v[:12].lower(), maxsplit=1)[0][:6]
-        yield path + "p" + re.sub(r"[A-Za-z]", "a", re.sub(r"\d", "0", v[:8]))
+        yield path + "w" + _WORD.match(v).group().lower()
+        other = _OTHER.findall(v)
+        digits = len(_DIGIT.findall(v))
+        yield f"{path}p{10 * digits // (len(v) or 1)}.{10 * len(other) // (len(v) or 1)}{''.join(sorted(set(other)))}"
     elif isinstance(v, bool):
         yield path + "b"
     elif isinstance(v, (int, float)):

@@ -29,7 +29,7 @@ WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
 _CLOCK = r"(?<h>\d{2}):(?<mi>\d{2})(?::(?<s>\d{2})(?:[.,](?<f>\d+))?)?"
 _ZONE = r"(?<z>[Zz]|[+-]\d{2}(?::?\d{2})?|[A-Z]{2,5})"
 _REGION = r"(?:\[(?<r>[A-Za-z][A-Za-z0-9_+/-]*)\])"
-_MONTH = r"(?<mon>[A-Z][a-z]{2})[a-z]*"
+_MONTH = r"(?<mon>Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)(?:(?<=Jan)uary|(?<=Feb)ruary|(?<=Mar)ch|(?<=Apr)il|(?<=Jun)e|(?<=Jul)y|(?<=Aug)ust|(?<=Sep)t(?:ember)?|(?<=Oct)ober|(?<=Nov)ember|(?<=Dec)ember)?"
 _DAY = r"(?<wd>[A-Z][a-z]{2})"
 
 #: The cascade, in order. Named groups: y m d h mi s f (fraction) z (offset or abbreviation) r (region) mon wd ap (AM or PM).
