@@ -26,3 +26,24 @@ def test_against_counting(spark, monkeypatch, bound, items):
 
 def test_empty(spark):
     assert gram.cooccurrence(spark.createDataFrame([], "w array<string>"), "w", 1, 0.001).count() == 0
+
+
+def test_blocks_hand_out_what_is_over(monkeypatch):
+    """Long records and many items: partial counts leave inside a block, and add up to the same."""
+    import numpy as np
+
+    rng = random.Random(5)
+    records = [sorted(rng.sample(range(2000), rng.choice([0, 1, 2, 5, 300]))) for _ in range(40)]
+    want = Counter(p for r in records for p in combinations(r, 2))
+    sizes = [len(r) for r in records]
+    for held, products in ((4_000_000, 2_000_000), (500, 1000), (10**9, 7)):
+        monkeypatch.setattr(gram, "_HELD", held)
+        monkeypatch.setattr(gram, "_PRODUCTS", products)
+        g, got = gram._Gram(), Counter()
+        out = [*g.add(np.repeat(np.arange(len(records)), sizes), np.array([x for r in records for x in r], np.int64)), g.take()]
+        for b in out:
+            for i, j, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                got[i, j] += n
+        assert got == want and (len(out) > 1) == (held == 500)
+        if products == 7:
+            break

@@ -1,8 +1,9 @@
 """Items that appear together: a blocked Gram matrix of the binary record-by-item matrix.
 
-Records become lists of item numbers. Each task turns blocks of records into sparse item blocks, adds up the products of a block's
-transpose with another block (how many records hold both items), and emits what is not zero once at its end, so that the shuffle holds
-one partial count per pair and task, not one row per pair and record. Counts are then set against the expected marginals n_a n_b / N.
+Records become lists of item numbers. Each task takes blocks of records as sparse blocks of items (coordinates of the ones), adds up the
+products of their transposes (how many records hold both items), and emits what is not zero once at its end, or when it holds _HELD counts, so
+that the shuffle holds one partial count per pair and task, not one row per pair and record. Counts are then set against the expected
+marginals n_a n_b / N.
 
 Only items that occur in enough records can be in a pair that does. With a least share s of all records there are at most (items per
 record) / s such items, whatever the number of records. Up to BROADCAST_ITEMS of them (counted first) their numbering is sent to all tasks;
@@ -25,8 +26,8 @@ from tidewrack.session import cut
 
 #: Items per block, records per block, and the number of items up to which the numbering is broadcast (some 100 bytes each).
 ITEM_BLOCK, RECORD_BLOCK, BROADCAST_ITEMS = 512, 8192, 200_000
-#: Pairs a task holds before it emits them.
-_HELD = 4_000_000
+#: Pairs a task holds before it emits them, products of one step.
+_HELD, _PRODUCTS = 4_000_000, 2_000_000
 
 
 def baskets(df: DataFrame, items: str) -> DataFrame:
@@ -36,53 +37,49 @@ def baskets(df: DataFrame, items: str) -> DataFrame:
 
 
 class _Gram:
-    """Adds up co-occurrence counts of records given as sorted item numbers, block by block."""
+    """Adds up co-occurrence counts of records given as sorted item numbers, a pair of sparse item blocks at a time. Holds at most _HELD
+    counts and a block's products more; what is over is handed out."""
 
     def __init__(self) -> None:
-        self.blocks: dict[tuple[int, int], np.ndarray] = {}
-
-    def add(self, rows: np.ndarray, cols: np.ndarray) -> None:
-        """rows, cols: coordinates of the ones of a binary matrix."""
-        if not len(rows):
-            return
-        block = cols // ITEM_BLOCK
-        parts = {}
-        for k in np.unique(block):
-            at = block == k
-            ids, pos = np.unique(rows[at], return_inverse=True)
-            parts[int(k)] = (ids, pos, cols[at] % ITEM_BLOCK)
-        keys = sorted(parts)
-        for x, i in enumerate(keys):
-            for j in keys[x:]:
-                ids, a_at, b_at = np.intersect1d(parts[i][0], parts[j][0], assume_unique=True, return_indices=True)
-                if len(ids):
-                    a, b = (self._dense(parts[k], at, len(ids)) for k, at in ((i, a_at), (j, b_at)))
-                    # float32 counts are exact: a block of records has fewer than 2 ** 24
-                    got = (a.T @ b).astype(np.int64)
-                    if (i, j) in self.blocks:
-                        self.blocks[i, j] += got
-                    else:
-                        self.blocks[i, j] = got
-
-    @staticmethod
-    def _dense(part: tuple, at: np.ndarray, n: int) -> np.ndarray:
-        ids, pos, col = part
-        to = np.full(len(ids), -1)
-        to[at] = np.arange(n)
-        keep = to[pos] >= 0
-        m = np.zeros((n, ITEM_BLOCK), np.float32)
-        m[to[pos[keep]], col[keep]] = 1
-        return m
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, rows: np.ndarray, cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """rows, cols: coordinates of the ones of a block of records, a binary matrix, in order of both."""
+        # a record with n items gives n (n - 1) / 2 products: as many records at a time as give _PRODUCTS, a long record in parts of its own
+        size = np.bincount(rows) if len(rows) else np.zeros(0, np.int64)
+        end = np.cumsum(size)[rows] if len(rows) else rows
+        after = end - np.arange(len(rows)) - 1
+        load = np.cumsum(after)
+        cuts = [*np.unique(np.searchsorted(load, np.arange(0, load[-1], _PRODUCTS))), len(rows)] if len(load) and load[-1] else []
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            # the sparse transpose product: each one of the matrix with the ones after it in its row
+            n = after[lo:hi]
+            i = np.repeat(np.arange(lo, hi), n)
+            j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + i + 1
+            self._merge([(cols[i], cols[j], np.ones(len(i), np.int64))])
+            if self.held > _HELD:
+                self._merge()
+                if self.held > _HELD:
+                    yield self.take()
+
+    def _merge(self, new: list | None = None) -> None:
+        """Sums equal pairs, of the new products alone or of all that is held, block of items by block of items."""
+        a, b, n = (np.concatenate(x) for x in zip(*(new or self.parts), strict=True))
+        order = np.lexsort((b, a, b // ITEM_BLOCK, a // ITEM_BLOCK))
+        a, b, n = a[order], b[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+        one = (a[first], b[first], np.add.reduceat(n, first) if len(first) else n)
+        self.parts = [*self.parts, one] if new else [one]
+        self.held = self.held + len(first) if new else len(first)
 
     def take(self) -> pa.RecordBatch:
-        """All counts over the diagonal, and nothing is held any more."""
-        out = [[], [], []]
-        for (i, j), m in self.blocks.items():
-            a, b = np.nonzero(np.triu(m, 1) if i == j else m)
-            for o, v in zip(out, (a + i * ITEM_BLOCK, b + j * ITEM_BLOCK, m[a, b]), strict=True):
-                o.append(v)
-        self.blocks.clear()
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o) if o else np.array([], np.int64), pa.int64()) for o in out], ["a", "b", "n_ab"])
+        """All counts, and nothing is held any more."""
+        if self.parts:
+            self._merge()
+        out = self.parts[0] if self.parts else (np.zeros(0, np.int64),) * 3
+        self.parts, self.held = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b", "n_ab"])
 
 
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,9 +88,7 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for start in range(0, b.num_rows, RECORD_BLOCK):
             lists = b.column(0).slice(start, RECORD_BLOCK)
             sizes = np.diff(lists.offsets.to_numpy())
-            gram.add(np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy())
-        if len(gram.blocks) * ITEM_BLOCK**2 > _HELD * 16:
-            yield gram.take()
+            yield from gram.add(np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy())
     yield gram.take()
 
 
