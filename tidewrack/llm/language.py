@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from tidewrack.session import spread
 BUCKETS, DIM, FIT, EPOCHS, GRAMS = 2**16, 16, 20_000, 60, (3, 4, 5)
 #: Share of the labelled sentences held out, and the share of held-out sentences that the least confidence may reject.
 HELD_OUT, REJECT = 0.2, 0.002
-#: Fewest letters of a sentence; one outside the Latin script counts twice.
-LETTERS = 12
+#: Substrings that make full evidence; of fewer the scores count in proportion, so a sentence of a few letters is sure only where they are telling.
+EVIDENCE = 80
 _CHARS = 1_000_000
 
 _DROP = re.compile(r"https?://\S+|(?<!\w)[@#]\w+|\[[^\]\n]{0,40}\](?=[\s.!?]*$)", re.IGNORECASE)
@@ -98,7 +99,8 @@ class Model:
         some = n > 0
         if some.any():
             z[some] = np.add.reduceat(self.table[buckets], start[:-1][some], axis=0) / n[some, None]
-        p = _softmax(z[:, : len(self.languages)].astype(np.float64) * self.scale)
+        weight = np.minimum(1.0, n / EVIDENCE)
+        p = _softmax(z[:, : len(self.languages)].astype(np.float64) * self.scale * weight[:, None])
         best, conf = p.argmax(axis=1), p.max(axis=1)
         return np.where(some & (conf >= self.least), best, -1), np.where(some, conf, 0.0)
 
@@ -134,27 +136,26 @@ def _fit(labelled: list[tuple[str, str]], epochs: int, seed: int, held_out: floa
     held, fit = order[: int(len(order) * held_out)], order[int(len(order) * held_out) :]
     texts, y = [prepared(x[1]) for x in labelled], np.array([languages.index(x[0]) for x in labelled])
     e, w = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)), np.zeros((DIM, len(languages)))
-    parts = [gram_buckets([t])[0] for t in texts]
     for epoch in range(epochs):
         rate = 0.5 * (1 - epoch / epochs)
         for at in range(0, len(fit), 8):
             k = fit[at : at + 8]
             # half of the time a run of words of the sentence, so that each part of it learns to tell the language
-            cuts = [gram_buckets([_run_of(texts[i], rng)])[0] if rng.random() < 0.5 else parts[i] for i in k]
-            ids = [c if len(c) else np.zeros(1, np.int32) for c in cuts]
-            mean = np.stack([e[x].mean(axis=0) for x in ids])
+            x, start = gram_buckets([_run_of(texts[i], rng) if rng.random() < 0.5 else texts[i] for i in k])
+            n = np.maximum(np.diff(start), 1)
+            mean = np.stack([e[x[s:t]].mean(axis=0) if t > s else e[0] for s, t in zip(start, start[1:], strict=False)])
             g = _softmax(mean @ w)
             g[np.arange(len(k)), y[k]] -= 1
             back = g @ w.T
             w -= rate * mean.T @ g
-            for x, b in zip(ids, back, strict=True):
-                np.subtract.at(e, x, rate * b / len(x) * 8)
+            np.subtract.at(e, x, np.repeat(rate * 8 * back / n[:, None], np.diff(start), axis=0))
         fit = rng.permutation(fit)
     table = np.zeros((BUCKETS, 8 * -(-len(languages) // 8)), np.float32)
     table[:, : len(languages)] = e @ w
     model = Model(languages, table, 1.0, 0.0)
     if len(held):
-        z = np.stack([table[parts[i]].mean(axis=0)[: len(languages)] if len(parts[i]) else np.zeros(len(languages)) for i in held]).astype(np.float64)
+        parts = [gram_buckets([texts[i]])[0] for i in held]
+        z = np.stack([table[x].mean(axis=0)[: len(languages)] if len(x) else np.zeros(len(languages)) for x in parts]).astype(np.float64)
         loss = lambda s: -np.log(np.maximum(_softmax(z * s)[np.arange(len(held)), y[held]], 1e-12)).mean()
         model.scale = float(min((0.25, 0.5, 0.75, 1, 1.5, 2, 3, 5), key=loss))
         own = np.sort(_softmax(z * model.scale)[np.arange(len(held)), y[held]])
@@ -163,9 +164,14 @@ def _fit(labelled: list[tuple[str, str]], epochs: int, seed: int, held_out: floa
 
 
 def model_of(samples: DataFrame, lang: str, sentence: str) -> Model:
-    """A model trained on at most FIT of the labelled sentences, those of least hash."""
+    """A model trained on at most FIT of the labelled sentences, those of least hash; trained once for each set of them in a process."""
     rows = samples.filter(F.col(lang).isNotNull() & F.col(sentence).isNotNull()).select(F.col(lang).alias("l"), F.col(sentence).alias("s")).orderBy(F.xxhash64("s"), "s", "l").limit(FIT).collect()
-    return train([(r["l"], r["s"]) for r in rows])
+    return _trained(tuple((r["l"], r["s"]) for r in rows))
+
+
+@lru_cache(maxsize=4)
+def _trained(labelled: tuple[tuple[str, str], ...]) -> Model:
+    return train(list(labelled))
 
 
 def segments(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
@@ -191,10 +197,8 @@ def segments(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
 def _predicted(m: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     best, conf = [], []
     for at in range(0, len(texts), 8000):
-        p = [prepared(s) for s in texts[at : at + 8000]]
-        a, c = m.predict(p)
-        few = np.array([len(s) - s.count(" ") + sum(c > "\u02ff" for c in s) < LETTERS for s in p])
-        best.append(np.where(few, -1, a))
+        a, c = m.predict([prepared(s) for s in texts[at : at + 8000]])
+        best.append(a)
         conf.append(c)
     return (np.concatenate(best), np.concatenate(conf)) if best else (np.zeros(0, np.int64), np.zeros(0))
 
