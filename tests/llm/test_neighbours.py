@@ -52,6 +52,31 @@ def test_scan_equals_full_products_without_tests():
     assert len(a) >= 0.99 * len(i)
 
 
+@pytest.mark.parametrize("block", [4096, 90])
+def test_all_lists_give_the_exact_answer(spark, monkeypatch, block):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    x = made(6, 400)[40:]
+    names = [f"n{i:04d}" for i in range(len(x))]
+    df = spark.createDataFrame([(n, v.tolist(), "m") for n, v in zip(names, x, strict=True)], "name string, v array<float>, model string")
+    for k, least in ((3, -1.0), (10, 0.85)):
+        got = {(r["name"], r["other"]) for r in neighbours.nearest(df, "name", "v", "model", k, least, probes=None).collect()}
+        assert got == brute(x, names, k, least)
+
+
+def test_the_kth_best_raises_the_floor(monkeypatch):
+    """With a low least cosine the best found so far abandons pairs: the answer is the same, and later stretches give few pairs."""
+    monkeypatch.setattr(neighbours, "_STRETCH", 100)
+    u = (neighbours.unit(made(5, 700)) @ neighbours.rotation(48)).astype(np.float32)
+    passed = []
+    plain = neighbours._scan
+    monkeypatch.setattr(neighbours, "_scan", lambda *a: passed.append(plain(*a)) or passed[-1])
+    i, j, _ = neighbours.scan(u, u, -1.0, 5, eps=1e9)
+    best = np.argsort(-(u.astype(float) @ u.T.astype(float)), axis=1)[:, :5]
+    for q in range(100, 700):  # the first ones have many copies, so ties
+        assert len(set(best[q]) - set(j[i == q])) <= (q < 140)
+    assert len(passed[0][0]) == 70_000 and len(passed[-1][0]) < 20_000
+
+
 def test_empty(spark):
     assert neighbours.nearest(spark.createDataFrame([], "name string, v array<float>, model string"), "name", "v", "model").count() == 0
 
