@@ -65,3 +65,11 @@ def test_containers_hold_neighbours(spark):
         boxes.setdefault(r["container"], []).append(r["key"])
     gaps = sorted(b - a for x in boxes.values() for a, b in zip(sorted(x), sorted(x)[1:], strict=False))
     assert len(got) == 4000 and gaps[len(gaps) // 2] <= 40
+
+
+def test_same_containers_whatever_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANGE_CONTAINERS", 10)
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, rng.randrange(0, 300), rng.randrange(2**32)) for i in range(1200)], "key bigint, tokens bigint, place bigint")
+    one, two = ({tuple(r) for r in packing.packed(x, 256).collect()} for x in (df, df.repartition(7)))
+    assert one == two and len({r[3] >> 32 for r in one}) > 20

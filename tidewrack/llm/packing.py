@@ -7,8 +7,9 @@ container with the least room that still holds it, and containers with room stay
 thus from one window, neighbours on the curve; small pieces also fill room left by earlier windows.
 
 A text of more tokens than the capacity fills whole containers with pieces of exactly the capacity and leaves one shorter piece; no other
-text is split. Ranges are cut by key and number of the row, so equal texts, however many, spread over ranges. Their number follows the
-tokens (RANGE_CONTAINERS containers each), which bounds what one task packs and the share of room lost at their ends.
+text is split. The curve is cut into ranges by the tokens counted in 2 ** BIN_BITS stretches of it (RANGE_CONTAINERS containers a range), and a
+stretch of more tokens, as of equal texts, is shared out by a hash, which bounds what one task packs and the share of room lost at the ends
+of ranges. The same table always gives the same containers, whatever its partitions.
 
 Null texts are in no container; texts without tokens are placed as pieces of 0 tokens; an empty table gives no containers.
 """
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 DIMS, LEVELS, SLOTS = 4, 8, 1024
 WINDOW_CONTAINERS, RANGE_CONTAINERS = 16, 4000
+#: Leading bits of a place by which the tokens along the curve are counted, to cut it into ranges.
+BIN_BITS = 18
 #: Characters given to the tokenizer at once: longer texts are counted in parts cut before a space or a line's end.
 _PART = 200_000
 _WORD = re.compile(r"[^\W\d_]{2,}")
@@ -158,25 +162,38 @@ def windows(sizes: list[int], capacity: int) -> Iterator[tuple[int, int]]:
             lo, n = i + 1, 0
 
 
+def ranges_of(weights: list[tuple[int, int]], most: int) -> list[tuple[int, int, int]]:
+    """(bin, first range, number of ranges) of each bin with its weight, bins in order: a range takes bins until it holds most; a bin of more
+    gets ranges of its own."""
+    out, at, held = [], 0, 0
+    for b, w in weights:
+        if held and held + w > most:
+            at, held = at + 1, 0
+        n = max(1, -(-w // most))
+        out.append((b, at, n))
+        at, held = (at + n, 0) if n > 1 else (at, held + w)
+    return out
+
+
 def packed(sized: DataFrame, capacity: int) -> DataFrame:
     """(key, piece, tokens, container): where each piece of each text goes; sized: the result of measured(), best written out before."""
+    spark = sized.sparkSession
     pieces = sized.withColumn("n", F.greatest(F.ceil(F.col("tokens") / F.lit(capacity)), F.lit(1))).withColumn("piece", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
-    pieces = pieces.select("key", F.col("piece").cast("int").alias("piece"), F.least(F.lit(capacity).cast("bigint"), F.col("tokens") - (F.col("piece") - 1) * capacity).alias("tokens"), "place")
-    total = sized.agg(F.sum("tokens")).first()[0] or 0
-    ranges = max(1, math.ceil(total / capacity / RANGE_CONTAINERS))
+    pieces = pieces.select("key", F.col("piece").cast("int").alias("piece"), F.least(F.lit(capacity).cast("bigint"), F.col("tokens") - (F.col("piece") - 1) * capacity).alias("tokens"), "place", F.shiftright("place", DIMS * LEVELS - BIN_BITS).alias("bin"))
+    # texts of few tokens count for a little more, as a task holds their rows, too
+    least = max(1, capacity // 128)
+    weights = sorted((r["bin"], r["w"]) for r in pieces.groupBy("bin").agg(F.sum(F.col("tokens") + least).alias("w")).collect())  # at most 2 ** BIN_BITS
+    bins = spark.createDataFrame(ranges_of(weights, RANGE_CONTAINERS * capacity), "bin bigint, first bigint, ranges bigint")
     kind = sized.schema["key"].dataType.simpleString()
-    rows = pieces.repartitionByRange(ranges, "place", "key", "piece").sortWithinPartitions("place", "key", "piece").withColumn("range", F.spark_partition_id())
+    rows = pieces.join(F.broadcast(bins), "bin").withColumn("range", F.col("first") + F.pmod(F.xxhash64("key", "piece"), F.col("ranges")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = Packer(capacity)
-        for b in batches:
-            if b.num_rows:
-                sizes = b.column("tokens").to_pylist()
-                boxes = [x for lo, hi in windows(sizes, capacity) for x in pack.place(sizes[lo:hi])]
-                start = b.column("range")[0].as_py() << 32
-                yield pa.RecordBatch.from_arrays([b.column("key"), b.column("piece"), b.column("tokens"), pa.array([start + x for x in boxes], pa.int64())], ["key", "piece", "tokens", "container"])
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.take(pc.sort_indices(t, sort_keys=[(c, "ascending") for c in ("place", "key", "piece")]))
+        sizes, pack = t.column("tokens").to_pylist(), Packer(capacity)
+        boxes = [x for lo, hi in windows(sizes, capacity) for x in pack.place(sizes[lo:hi])]
+        return t.select(["key", "piece", "tokens"]).append_column("container", pa.array([(key[0].as_py() << 32) + x for x in boxes], pa.int64()))
 
-    return rows.select("key", "piece", "tokens", "range").mapInArrow(run, f"key {kind}, piece int, tokens bigint, container bigint")
+    return rows.select("key", "piece", "tokens", "place", "range").groupBy("range").applyInArrow(run, f"key {kind}, piece int, tokens bigint, container bigint")
 
 
 def pack(df: DataFrame, key: str, text: str, capacity: int, vocabulary: str = VOCABULARY) -> DataFrame:
