@@ -24,17 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewrack.session import cut as written
 from tidewrack.session import spread
 
 SAMPLE, CUTS, BITS, EPOCHS = 8_000, 3, 2**15, 6
-#: A length is a limit of its source if that many of its texts have it, and this share of them.
-SPIKE, SPIKE_SHARE = 8, 0.04
+#: A length is a limit of its source if at least SPIKE of its texts have it, and more than the lengths around it (up to SPIKE_FAR away, without
+#: the SPIKE_NEAR nearest, which a limit may spread to) let expect by so many standard deviations.
+SPIKE, SPIKE_NEAR, SPIKE_FAR, SPIKE_DEVIATIONS = 4, 3, 14, 6.0
 _BROADCAST_ROWS = 100_000
 # Marks that sources put behind a cut.
-MARKS = ("…", "...", "[more]", "[…]", "[...]", "(more)", "�")
 _MARK = re.compile(r"(?:…|\.\.\.|\[(?:more|…|\.\.\.|continued|truncated|read more)\]|\((?:more|continued)\)|�+)$", re.IGNORECASE)
 #: A link, with what introduces it on its own line.
 _LINK, _TAGS, _SIGNED = re.compile(r"(?:(?:^|\n)[^\n]{0,24}:[ \t]*|(?:^|\s))https?://\S*$"), re.compile(r"(?:(?:^|\s)#\w*)+$"), re.compile(r"\n-- ?(?:\n[^\n]{0,40})?$")
@@ -154,14 +155,16 @@ def limits(df: DataFrame, source: Column, text: Column) -> DataFrame:
     """(source, chars, bytes): the lengths at which a source has spikes, arrays."""
     each = df.filter(text.isNotNull()).select(source.alias("source"), F.length(text).alias("chars"), F.octet_length(text).alias("bytes"))
     counts = each.select("source", F.explode(F.array(F.struct(F.lit("c").alias("unit"), F.col("chars").alias("n")), F.struct(F.lit("b").alias("unit"), F.col("bytes").alias("n")))).alias("x")).groupBy("source", "x.unit", "x.n").count()
-    total = counts.filter("unit = 'c'").groupBy("source").agg(F.sum("count").alias("all"))
-    spikes = counts.filter(F.col("count") >= SPIKE).join(total, "source").filter(F.col("count") >= F.col("all") * SPIKE_SHARE)
+    by = Window.partitionBy("source", "unit").orderBy("n")
+    within = lambda k: F.sum("count").over(by.rangeBetween(-k, k))
+    counts = counts.withColumn("usual", (within(SPIKE_FAR) - within(SPIKE_NEAR)) / (2 * (SPIKE_FAR - SPIKE_NEAR)))
+    spikes = counts.filter((F.col("count") >= SPIKE) & (F.col("count") >= F.col("usual") + SPIKE_DEVIATIONS * F.sqrt("usual") + SPIKE - 1))
     return spikes.groupBy("source").agg(F.collect_set(F.when(F.col("unit") == "c", F.col("n"))).alias("at_chars"), F.collect_set(F.when(F.col("unit") == "b", F.col("n"))).alias("at_bytes"))
 
 
 def scores(df: DataFrame, key: str, source: str, text: str) -> DataFrame:
     """(key, source, cut_score): probability that the text was cut, for every row."""
-    spikes = limits(df, F.col(source), F.col(text))
+    spikes = written(limits(df, F.col(source), F.col(text)))  # read three times below
     rows = spread(df.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text")))
     few = spikes.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS
     near = lambda n, a: F.coalesce(F.exists(a, lambda x: (x - n).between(-1, 3)), F.lit(False))
