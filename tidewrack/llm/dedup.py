@@ -42,7 +42,7 @@ def item_of(platform: Column, native_id: Column, row_key: Column) -> Column:
     """The item an identifier denotes: platform and the bare identifier, in its own letter case, without address, prefix, parameters and
     space around it. Where native_id is null, that inside row_key (platform:identifier) counts."""
     raw = F.coalesce(native_id, F.regexp_extract(row_key, r"(?s)^[^:]*:(.*)$", 1))
-    # most are bare already; the patterns below would leave them as they are
+    # most are bare or a plain address already, and the patterns below would give the same for them
     bare_already = F.when(platform == "reddit", F.regexp_replace(raw, r"^[tT]\d_", "")).otherwise(raw)
     s = F.regexp_replace(raw, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
     plain = F.regexp_replace(F.regexp_replace(s, r"[?#].*$", ""), r"/+$", "")
@@ -57,7 +57,8 @@ def item_of(platform: Column, native_id: Column, row_key: Column) -> Column:
         .when(platform.isin("github", "hackernews", "hnjobs"), first_of(number, plain))
         .otherwise(plain)
     )
-    bare = F.when(raw.rlike(r"^[A-Za-z0-9_-]+\z"), bare_already).otherwise(bare)
+    address = r"^(?:at://)?(did:[a-z0-9]+:[A-Za-z0-9._-]+)/[A-Za-z0-9._-]+/([A-Za-z0-9_-]+)\z"
+    bare = F.when(raw.rlike(r"^[A-Za-z0-9_-]+\z"), bare_already).when((platform == "bluesky") & raw.rlike(address), F.regexp_replace(raw, address, "$1/$2")).otherwise(bare)
     return F.when(platform.isNotNull() & (bare != ""), F.concat(platform, F.lit("|"), bare))
 
 

@@ -14,7 +14,7 @@ lists of the single values that any similar pair must share one of (the first of
 leaves room for), and no filter but the sizes.
 
 Equal texts are one class throughout (a 64-bit digest), so copies cost nothing after the first step; each task drops repeats before the
-shuffle. Sketches are written once; their entries are packed by bucket of key into few rows and compared in WAVES parts of the buckets one after
+shuffle. Sketches are written once; their entries are packed by bucket of key into few rows and compared in WAVES parts of the keys one after
 the other, so that only a part of the entries is on disk at a time. No list is capped: one that a bounded sample of the texts shows to be
 longer than LIST entries is split into cells, each a pair of parts of the list, over as many tasks.
 
@@ -45,7 +45,7 @@ BITS = SLOTS * ORDERS
 LEAST, DEVIATIONS = 0.6, 3.5
 #: Steps of the size of a set in an entry to a factor of e.
 _SIZE_STEPS = 16
-#: Parts in which the buckets are compared; entries of a list from which on it is split, if a sample of SAMPLE texts shows it.
+#: Parts in which the keys are compared; entries of a list from which on it is split, if a sample of SAMPLE texts shows it.
 WAVES, LIST, SAMPLE = 3, 16_384, 20_000
 #: Texts hashed at once, entries of a bucket, pairs compared at once, and rows up to which the set of wanted texts is broadcast.
 _BATCH_CHARS, _BUCKET_ENTRIES, _PAIRS, _BROADCAST_ROWS = 2_000_000, 250_000, 2_000_000, 400_000
@@ -207,12 +207,19 @@ def sketches(df: DataFrame, min_chars: int, exhaustive: float | None = None) ->
     return spread(df.select("space", "text")).mapInArrow(run, SKETCH)
 
 
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, lengths) of a binary column without nulls."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    data = column.buffers()[2]
+    return (np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)), np.diff(at)
+
+
 def keys_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of a column of packed keys."""
-    each = column.to_pylist()
-    row = np.repeat(np.arange(len(each)), [len(x) // _KEY_BYTES for x in each])
+    data, size = _bytes_of(column)
+    row = np.repeat(np.arange(len(size)), size // _KEY_BYTES)
     full = np.zeros((len(row), 8), np.uint8)
-    full[:, :_KEY_BYTES] = np.frombuffer(b"".join(each), np.uint8).reshape(-1, _KEY_BYTES)
+    full[:, :_KEY_BYTES] = data.reshape(-1, _KEY_BYTES)
     return row, full.view("<u8").reshape(-1)
 
 
@@ -248,7 +255,7 @@ def cells(key: np.ndarray, ids: np.ndarray, lists: tuple[np.ndarray, np.ndarray]
 
 
 def entries(held: DataFrame, buckets: int, lists: tuple[np.ndarray, np.ndarray], wave: int = 0, waves: int = 1, wanted: object = None) -> DataFrame:
-    """(bucket, entries): packed entries of the sketches (id, small, keys, sig, old) in the buckets of one wave. wanted: a broadcast table of
+    """(bucket, entries): packed entries of the sketches (id, small, keys, sig, old) with the keys of one wave. wanted: a broadcast table of
     bits, eight to a byte; only entries whose key has its bit set are made."""
     sent = held.sparkSession.sparkContext.broadcast(lists)
 
@@ -257,17 +264,17 @@ def entries(held: DataFrame, buckets: int, lists: tuple[np.ndarray, np.ndarray],
             if not b.num_rows:
                 continue
             ids, small, old = (b.column(k).to_numpy(zero_copy_only=False) for k in ("id", "small", "old"))
-            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint64).reshape(len(ids), -1)
+            sig = _bytes_of(b.column("sig"))[0].view(np.uint64).reshape(len(ids), -1)
             doc, key = keys_of(b.column("keys"))
+            now = key % np.uint64(waves) == wave
             if wanted is not None:
                 bit = (key % np.uint64(8 * len(wanted.value))).astype(np.int64)
-                some = (wanted.value[bit >> 3] >> (7 - (bit & 7)) & 1).astype(bool)
-                doc, key = doc[some], key[some]
+                now &= (wanted.value[bit >> 3] >> (7 - (bit & 7)) & 1).astype(bool)
+            doc, key = doc[now], key[now]
             row, key = cells(key, ids[doc], sent.value)
             doc, key = doc[row], mix(key)
             bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            now = np.flatnonzero(bucket % waves == wave)
-            now = now[np.argsort((bucket[now] << 32) | (key[now] & np.uint64(0xFFFFFFFF)).astype(np.int64))]
+            now = np.argsort((bucket << 32) | (key & np.uint64(0xFFFFFFFF)).astype(np.int64))
             rows = np.zeros(len(now), ENTRY)
             rows["key"], rows["id"], rows["small"], rows["old"], rows["sig"] = key[now] & np.uint64(0xFFFFFFFF), ids[doc[now]], small.view(np.uint8)[doc[now]], old[doc[now]], sig[doc[now]]
             some, at = np.unique(bucket[now], return_index=True)
@@ -317,7 +324,7 @@ def list_pairs(x: np.ndarray, filtered: bool = True) -> np.ndarray:
 def listed_pairs(parts: list, n: int, filtered: bool = True, keys: float = KEYS + 2) -> DataFrame:
     """(a, b): distinct pairs of the sketches that share a list and pass. parts: functions of (buckets, wave, waves) that give packed entries;
     n: about how many sketches there are."""
-    buckets = max(24, math.ceil(n * keys / _BUCKET_ENTRIES))
+    buckets = max(24 // WAVES, math.ceil(n * keys / WAVES / _BUCKET_ENTRIES))
 
     def join(t: pa.Table) -> pa.Table:
         p = list_pairs(np.frombuffer(b"".join(t.column("entries").to_pylist()), ENTRY), filtered)
@@ -325,7 +332,7 @@ def listed_pairs(parts: list, n: int, filtered: bool = True, keys: float = KEYS
 
     def one(wave: int) -> DataFrame:
         packed = reduce(DataFrame.unionByName, [f(buckets, wave, WAVES) for f in parts])
-        return cut(packed.repartition(-(-buckets // WAVES), "bucket").groupBy("bucket").applyInArrow(join, "a bigint, b bigint").distinct())
+        return cut(packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(join, "a bigint, b bigint").distinct())
 
     return reduce(DataFrame.unionByName, [one(wave) for wave in range(WAVES)]).distinct()
 
