@@ -114,15 +114,25 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     raise RuntimeError(f"the components weren't found in {rounds} rounds")
 
 
-def rows_of(df: DataFrame, min_chars: int) -> DataFrame:
-    """(row_id, i, id): the nodes of the row's item and text, null where there is none; df: (row_id, item, text)."""
+def arrivals(df: DataFrame, min_chars: int) -> DataFrame:
+    """(row_id, i, id, text): the nodes of the row's item and text, null where there is none, and the normalised text where its task meets it
+    first; df: (row_id, item, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            ids = [None if x is None or len(t := sketch.normalise(x)) < min_chars else sketch.digest(t, "") for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.int64())], ["row_id", "i", "id"])
+            ids, texts = [], []
+            for x in b.column(2).to_pylist():
+                t = None if x is None else sketch.normalise(x)
+                k = None if t is None or len(t) < min_chars else sketch.digest(t, "")
+                ids.append(k)
+                texts.append(t if k is not None and k not in seen else None)
+                seen.add(k)
+            if len(seen) > 2_000_000:  # only saves work
+                seen.clear()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["row_id", "i", "id", "text"])
 
-    return spread(df.select("row_id", F.when(F.col("item").isNotNull(), F.xxhash64(F.lit("item"), F.col("item"))), "text")).mapInArrow(run, "row_id bigint, i bigint, id bigint")
+    return spread(df.select("row_id", F.when(F.col("item").isNotNull(), F.xxhash64(F.lit("item"), F.col("item"))).alias("i"), "text")).mapInArrow(run, "row_id bigint, i bigint, id bigint, text string")
 
 
 def bit_table(held: DataFrame, bits: int) -> np.ndarray:
@@ -165,16 +175,17 @@ class History:
 
     def _stored(self, name: str, schema: str) -> DataFrame:
         paths = [f"{self.path}/batches/{b}/{name}" for b in self.batches()]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        if paths:
+            return self.spark.read.schema(schema).parquet(*paths)
+        return self.spark.range(0).selectExpr(*[f"CAST(NULL AS {kind}) AS {n}" for n, kind in (x.split(" ") for x in schema.split(", "))])
 
     def _write(self, batch: str, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.path}/batches/{batch}/{name}"
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _classes(self, df: DataFrame, known: DataFrame | None) -> DataFrame:
-        """CLASSES of the texts of a batch without the known ones (id); a class may come once from each task that meets it."""
-        space = df.select(F.lit("").alias("space"), "text")
+    def _classes(self, fresh: DataFrame, known: DataFrame | None) -> DataFrame:
+        """CLASSES of the texts (id, text) of a batch without the known ones (id); a class may come once from each task that meets it."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -185,7 +196,6 @@ class History:
                     at += len(part)
                     yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("text"), *sketch.sketched(*sets, [""] * len(part)), pa.array(pivot_counts(*sets), pa.binary())], ["id", "text", "small", "keys", "sig", "pivots"])
 
-        fresh = sketch.texts(space, self.min_chars)
         if known is not None:
             fresh = fresh.join(F.broadcast(known) if known.count() <= sketch._BROADCAST_ROWS else known, "id", "left_anti")
         return fresh.mapInArrow(run, self.CLASSES)
@@ -215,10 +225,11 @@ class History:
         refused = "row_id_a bigint, row_id_b bigint"
         if name in done:
             return self.spark.read.schema(refused).parquet(f"{self.path}/batches/{name}/refused")
-        rows = cut(rows_of(batch, self.min_chars))
+        came = self._write(name, "arrivals", arrivals(batch, self.min_chars))
+        rows = came.select("row_id", "i", "id")
         ids = rows.select("id").filter("id IS NOT NULL").distinct()
         stored = self._stored("classes", self.CLASSES) if done else None
-        fresh = self._write(name, "classes", self._classes(batch, cut(stored.select("id").join(ids, "id", "left_semi").distinct()) if done else None))
+        fresh = self._write(name, "classes", self._classes(came.filter("text IS NOT NULL").select("id", "text"), cut(stored.select("id").join(ids, "id", "left_semi").distinct()) if done else None))
         near = self._near(fresh, stored)
 
         # nodes of the history that the batch touches, with the first rows of their sets as they are now
@@ -248,6 +259,7 @@ class History:
         nodes = firsts.filter("node IS NOT NULL").groupBy("node").agg(F.min("row_id").alias("seen"), F.min("first").alias("first"))
         self._write(name, "nodes", nodes.join(old.select("node"), "node", "left_anti").select("node", "seen", "first"))
         self._fs.create(self._Path(f"{self.path}/complete/{name}"), True).close()
+        self._fs.delete(self._Path(f"{self.path}/batches/{name}/arrivals"), True)
         return out
 
     def _now(self, df: DataFrame, column: str) -> DataFrame:

@@ -287,15 +287,22 @@ def entries(held: DataFrame, buckets: int, lists: tuple[np.ndarray, np.ndarray],
 def list_pairs(x: np.ndarray, filtered: bool = True) -> np.ndarray:
     """Pairs of ids (smaller first) that share a list of the entries, have sizes that allow the similarity LEAST and whose signatures agree
     (if filtered). Two old entries make no pair and aren't compared."""
-    at = np.lexsort((x["id"], x["small"], x["key"]))
-    x = x[at]
-    x = x[np.concatenate([[True], (x["key"][1:] != x["key"][:-1]) | (x["id"][1:] != x["id"][:-1])])] if len(x) else x
-    ids, small, old, sig = x["id"].copy(), x["small"].copy(), x["old"].astype(bool), [x["sig"][:, k].copy() for k in range(BITS // 64)]
-    place = (x["key"].astype(np.int64) << 8) | small
+    # a list has its old entries first, each part by size; repeats of an entry stand together by some bits of their ids
+    order = (x["key"].astype(np.uint64) << np.uint64(32)) | ((1 - x["old"]).astype(np.uint64) << np.uint64(31)) | (x["small"].astype(np.uint64) << np.uint64(23)) | (x["id"].astype(np.uint64) & np.uint64(2**23 - 1))
+    at = np.argsort(order)
+    order, ids = order[at], x["id"][at]
+    once = np.concatenate([[True], (order[1:] != order[:-1]) | (ids[1:] != ids[:-1])]) if len(x) else np.zeros(0, bool)
+    at, ids, place = at[once], ids[once], (order[once] >> np.uint64(23)).astype(np.int64)
+    small, old, sig = x["small"][at], x["old"][at].astype(bool), [x["sig"][:, k][at] for k in range(BITS // 64)]
+    # a new entry meets the new ones after it and the old ones, within reach of its size
     fresh = np.flatnonzero(~old)
-    # a new entry meets those after it within reach of the size, and old ones before it
-    hi = np.searchsorted(place, (place[fresh] & ~255) | np.minimum(small[fresh].astype(np.int64) + _SIZES_APART, 255), side="right")
-    lo = np.searchsorted(place, (place[fresh] & ~255) | np.maximum(small[fresh].astype(np.int64) - _SIZES_APART, 0)) if old.any() else fresh + 1
+    start, size = place[fresh] & ~511, small[fresh].astype(np.int64)
+    most = np.minimum(size + _SIZES_APART, 255)
+    lo, hi = fresh + 1, np.searchsorted(place, start | 256 | most, side="right")
+    if old.any():
+        lo = np.concatenate([lo, np.searchsorted(place, start | np.maximum(size - _SIZES_APART, 0))])
+        hi = np.concatenate([hi, np.searchsorted(place, start | most, side="right")])
+        fresh = np.concatenate([fresh, fresh])
     n = np.maximum(hi - lo, 0)
     load = np.cumsum(n)
     bounds = [*np.unique(np.searchsorted(load, np.arange(0, load[-1], _PAIRS))), len(fresh)] if len(load) and load[-1] else []
@@ -304,9 +311,6 @@ def list_pairs(x: np.ndarray, filtered: bool = True) -> np.ndarray:
         m = n[p:q]
         i = np.repeat(fresh[p:q], m)
         j = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(lo[p:q], m)
-        if old.any():
-            ok = (j > i) | old[j]
-            i, j = i[ok], j[ok]
         if filtered:
             most = _MOST[np.maximum(small[i], small[j])]
             d = np.bitwise_count(sig[0][i] ^ sig[0][j]).astype(np.uint16)
@@ -316,6 +320,8 @@ def list_pairs(x: np.ndarray, filtered: bool = True) -> np.ndarray:
                 d += np.bitwise_count(s[i] ^ s[j])
             ok = d <= most
             i, j = i[ok], j[ok]
+        ok = ids[i] != ids[j]
+        i, j = i[ok], j[ok]
         if len(i):
             found.append(np.unique(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])], axis=1), axis=0))
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
