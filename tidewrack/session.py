@@ -16,6 +16,7 @@ CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 #: Spark's setting that deletes the shuffle files of a query when it has ended.
@@ -62,9 +63,12 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session; only where that is unset (tests on one machine) a local one."""
+    """The folder all executors share: spark.checkpoint.dir of the session. Where that is unset, a local one if all runs on one machine; on a
+    cluster this raises."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local" and "TIDEWRACK_SHARED" not in os.environ:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = os.environ.get("TIDEWRACK_SHARED", "file://" + os.path.join(tempfile.gettempdir(), "tidewrack-checkpoints"))
     return d
 
