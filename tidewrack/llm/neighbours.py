@@ -145,8 +145,9 @@ def nearest(df: DataFrame, name: str, vector: str, model: str, k: int = 10, leas
     sent = df.sparkSession.sparkContext.broadcast({m: (*index[m], int(offset[i])) for i, m in enumerate(models)})
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row (list, cell, name, vector) for each vector in its own list, and (list, cell, asks, vector) for the lists it asks. A list of p parts has
-        p * p cells: its vectors are in those of their part's row, the questions in those of their part's column."""
+        """A row (list, cell, name, vector) for each vector in its own list, and (list, cell, asks, vector) for the lists it asks; one row is both in
+        the own list if that is whole. A list of p parts has p * p cells: its vectors are in those of their part's row, the questions in those
+        of their part's column."""
         for b in batches:
             names, ms, same, rn = (np.array(b.column(c).to_pylist(), dtype=object) for c in ("name", "model", "same", "rn"))
             out = []
@@ -161,7 +162,8 @@ def nearest(df: DataFrame, name: str, vector: str, model: str, k: int = 10, leas
                 first = (rn[at] == 1).astype(bool)
                 asked = (near[np.arange(len(at))[:, None], best] >= near[np.arange(len(at)), own][:, None] - margin) & (best != own[:, None]) & first[:, None]
                 r, c = np.nonzero(asked)
-                row, lists = np.concatenate([np.flatnonzero(first), r]), np.concatenate([own[first], best[r, c]])
+                both = first & (parts[own] == 1)
+                row, lists = np.concatenate([np.flatnonzero(first & ~both), r]), np.concatenate([own[first & ~both], best[r, c]])
                 draw = np.array([hash_of(names[i]) for i in at], np.int64) if (parts > 1).any() else np.zeros(len(at), np.int64)
                 for row, lists, asks in ((np.arange(len(at)), own, False), (row, lists, True)):
                     n = parts[lists]
@@ -169,10 +171,10 @@ def nearest(df: DataFrame, name: str, vector: str, model: str, k: int = 10, leas
                     other = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     mine = draw[row[each]] % n[each]
                     cell = other * n[each] + mine if asks else mine * n[each] + other
-                    out.append((lists[each] + start, cell, at[row[each]], x[row[each]], asks))
-            for lists, cell, i, x, asks in out:
-                none = pa.nulls(len(i), pa.int64() if not asks else pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), pa.array(cell, pa.int32()), none if asks else pa.array(names[i].tolist(), pa.string()), pa.array(same[i].astype(np.int64)) if asks else none, pa.array([v.tobytes() for v in x], pa.binary())], ["list", "cell", "name", "asks", "v"])
+                    out.append((lists[each] + start, cell, at[row[each]], x[row[each]], asks, asks | both[row[each]]))
+            for lists, cell, i, x, asks, also in out:
+                name = pa.nulls(len(i), pa.string()) if asks else pa.array(names[i].tolist(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), pa.array(cell, pa.int32()), name, pa.array(same[i].astype(np.int64), mask=~also), pa.array([v.tobytes() for v in x], pa.binary())], ["list", "cell", "name", "asks", "v"])
 
     rows_in = held.select("name", "model", "same", "rn", "vector").mapInArrow(place, "list int, cell int, name string, asks bigint, v binary")
 
