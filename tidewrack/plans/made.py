@@ -4,7 +4,7 @@ its whole table and has the SQL that gives the same rows straight from the table
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -302,7 +302,8 @@ def open_batches(spark, sf):
 @_query("batch_names", "SELECT strftime(TIMESTAMP '2026-08-12' + to_seconds(CAST(count(DISTINCT load_batch) AS INT)), '%Y%m%dT%H%M%S') AS name FROM posts")
 def batch_names(spark, sf):
     """The first second that is no batch's name yet, where as many are taken as there are load batches."""
-    taken = {(_NOW.replace(second=r["load_batch"])).strftime("%Y%m%dT%H%M%S") for r in table(spark, sf, "posts").select("load_batch").distinct().collect()}
+    n = table(spark, sf, "posts").agg(F.count_distinct("load_batch")).first()[0]
+    taken = {(_NOW + timedelta(seconds=k)).strftime("%Y%m%dT%H%M%S") for k in range(n)}
     return spark.createDataFrame([(queue.batch_id(taken, _NOW),)], "name string")
 
 
