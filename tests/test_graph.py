@@ -57,6 +57,21 @@ def test_vector_pairs_in_blocks(spark):
     assert {(r["a"], r["b"]) for r in got.collect()} == want and got.count() == len(want)
 
 
+def test_vector_pairs_in_parts(spark):
+    x = np.random.default_rng(2).standard_normal((150, 6)).astype(np.float32)
+    x[100:] = x[:50] * 3  # of the same direction
+    df = spark.createDataFrame([(f"p{i}", v.tolist()) for i, v in enumerate(x)] + [("short", [1.0])], "post_id string, embedding array<float>")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    s = u @ u.T
+    want = {tuple(sorted((f"p{i}", f"p{j}"))): round(s[i, j], 9) for i in range(150) for j in range(i) if s[i, j] >= 0.7}
+    for sent in (1000, 1 << 25):
+        got = graph.vector_pairs(df, 0.7, block=20, limit=None, sent=sent).collect()
+        assert {(r["a"], r["b"]): round(r["sim"], 9) for r in got} == want and len(got) == len(want)
+    assert graph.vector_pairs(df.limit(0), 0.7, limit=None).count() == 0
+    with pytest.raises(ValueError):
+        graph.vector_pairs(df, 0.7, limit=150)
+
+
 def test_search(small):
     got = search.search(small[1], small[0], [1.0, 0, 0])
     assert [r["post_id"] for r in got.collect()] == ["x:near1", "x:near2", "x:far"]

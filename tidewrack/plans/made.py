@@ -371,7 +371,7 @@ def embed_step(spark, sf):
 @_query("neighbour_floor", f"WITH {ref._VEC} SELECT count(*) AS pairs FROM v a JOIN v b ON a.post_id < b.post_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95")
 def neighbour_floor(spark, sf):
     """How many pairs of stored vectors pass a higher threshold, by the block products."""
-    return graph.vector_pairs(ref.vectors_of(spark, sf), 0.95).agg(F.count("*").alias("pairs"))
+    return graph.vector_pairs(ref.vectors_of(spark, sf), 0.95, limit=None).agg(F.count("*").alias("pairs"))
 
 
 # telemetry and scans
