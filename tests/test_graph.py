@@ -72,6 +72,13 @@ def test_vector_pairs_in_parts(spark):
         graph.vector_pairs(df, 0.7, limit=150)
 
 
+def test_near_ties_go_to_the_lesser_id(spark):
+    p = posts(spark, *[{"id": k, "posted_at": datetime(2026, 8, 1)} for k in ("x:q", "x:z", "x:a")])
+    v = spark.createDataFrame([("x:q", [1.0, 0.0]), ("x:z", [0.9, 0.19**0.5]), ("x:a", [0.9, 0.19**0.5 * (1 + 1e-13)])], "post_id string, embedding array<double>")
+    got = graph.similar_to(v, p, 0.85, 1).collect()
+    assert {(r["src_id"], r["dst_id"]) for r in got} == {("x:a", "x:q"), ("x:a", "x:z")}
+
+
 def test_search(small):
     got = search.search(small[1], small[0], [1.0, 0, 0])
     assert [r["post_id"] for r in got.collect()] == ["x:near1", "x:near2", "x:far"]

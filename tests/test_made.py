@@ -32,3 +32,16 @@ def test_neighbour_floor_of_many_vectors(spark, tmp_path):
     u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     want = sum(int((u[s : s + 500] @ u.T >= 0.95).sum()) for s in range(0, len(u), 500)) - len(u)
     assert want > 0 and made.queries()["neighbour_floor"](spark, str(tmp_path)).collect() == [(want // 2,)]
+
+
+def test_similar_to_of_many_vectors(spark, data, tmp_path):
+    n = graph.MAX_VECTORS + 100
+    x = np.random.default_rng(4).standard_normal((n, 64)).astype(np.float32)
+    x[-300:] = x[:300] + np.float32(0.25) * x[300:600]
+    vectors(tmp_path, x)
+    name = f"'p' || CASE WHEN k < 300 THEN k ELSE k + {n - 600} END"
+    duckdb.sql(f"COPY (SELECT * EXCLUDE (k) REPLACE ({name} AS id) FROM (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS k FROM read_parquet('{data}/posts.parquet')) WHERE k < 600) TO '{tmp_path}/posts.parquet'")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = {tuple(sorted((f"p{i}", f"p{n - 300 + i}"))): round(float(u[i] @ u[n - 300 + i]), 4) for i in range(300)}
+    got = ref.queries()["similar_to"](spark, str(tmp_path)).collect()
+    assert {(r["src_id"], r["dst_id"]): r["weight"] for r in got} == want and len(got) == 300

@@ -246,8 +246,8 @@ _SIM = f"{_VEC}, s AS (SELECT a.post_id AS a, b.post_id AS b, list_cosine_simila
 
 @_query("similar_to", _P + f", {_SIM} SELECT c.a AS src_id, c.b AS dst_id, round(c.sim, 4) AS weight, greatest(x.posted_at, y.posted_at) AS observed_at FROM c JOIN p x ON x.id = c.a JOIN p y ON y.id = c.b")
 def similar_to(spark, sf):
-    rows = graph.similar_to(vectors_of(spark, sf), posts_of(spark, sf), SIMILAR, TOP)
-    return rows.select("src_id", "dst_id", F.round(F.col("weight").cast("double"), 4).alias("weight"), "observed_at")
+    rows = graph.nearest_pairs(vectors_of(spark, sf), posts_of(spark, sf), SIMILAR, TOP, limit=None)
+    return rows.select(F.col("a").alias("src_id"), F.col("b").alias("dst_id"), F.round("sim", 4).alias("weight"), "observed_at")
 
 
 @_query("edges_rebuild", _P + f", {_PAIRS} SELECT edge_type, count(*) AS n FROM (" + _EDGE("keyword", "a", "keyword", "b", "cooccurs", "count(*)", "max(posted_at)", "pr") + " UNION ALL SELECT * FROM edges WHERE edge_type <> 'cooccurs') GROUP BY 1")
