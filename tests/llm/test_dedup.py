@@ -148,3 +148,36 @@ def test_components(spark):
         x, y = sorted((top(a), top(b)))
         up[y] = x
     assert got_ == {x: top(x) for e in edges for x in e if top(x) != x}
+
+
+def test_components_of_many_edges(spark, monkeypatch):
+    """The steps give the same to their end, and where one task takes over what they leave."""
+    rng = random.Random(2)
+    edges = [(k, k + 1) for k in range(0, 60)] + [(rng.randrange(-500, 500), rng.randrange(-500, 500)) for _ in range(300)]
+    df = spark.createDataFrame(edges, "u bigint, v bigint")
+    found = lambda: {(r["node"], r["root"]) for r in dedup.components(df).collect()}
+    want = found()
+    for most in (0, 330):
+        monkeypatch.setattr(dedup, "EDGES", most)
+        assert found() == want and len(want) > 200
+
+
+def test_a_small_batch_takes_few_jobs(spark, tmp_path):
+    """The driver's memory grows with the plans that it makes, so few edges and entries don't go step by step."""
+    at_work = spark.sparkContext
+
+    def jobs(name, run):
+        at_work.setJobGroup(name, name)
+        try:
+            run()
+        finally:
+            at_work.setLocalProperty("spark.jobGroup.id", None)
+        return len(at_work.statusTracker().getJobIdsForGroup(name))
+
+    edges = spark.createDataFrame([(k, k + 1) for k in range(50)], "u bigint, v bigint")
+    assert jobs("components", lambda: dedup.components(edges)) <= 4
+    rows = made(14, 40)
+    history = dedup.History(spark, f"file://{tmp_path}/h")
+    history.check(spark.createDataFrame(rows[:40], DDL))
+    assert jobs("batch", lambda: history.check(spark.createDataFrame(rows[40:], DDL))) <= 85
+    assert near(got(history.refused()), expected(rows))

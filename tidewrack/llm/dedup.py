@@ -5,7 +5,7 @@ sketch, pivot distances), ``nodes`` (item or class, its first row, the first row
 ``refused``. A batch counts once its marker is there, the last file written; a batch that failed is written anew under its name, one that
 is complete is answered from what is stored. A batch is sketched once and appended; no stored text is normalised, hashed or sketched again,
 and stored texts are never compared with each other: stored sketches make list entries only for keys that the batch has too (told by a
-bit table of KEY_BITS bits, the same size for any batch; a full one costs time, loses nothing), and lists compare new with new and new with old.
+bit table of at most KEY_BITS bits; a full one costs time, loses nothing), and lists compare new with new and new with old.
 
 Pivots: the metric is the size of the symmetric difference of two sets of substrings. The pivots are the empty set and PIVOTS fixed
 disjoint sets that share out all substrings by their hash; a text's distances to them are known from its size and its number of values
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from tidewrack.llm import sketch
 from tidewrack.session import cut, spread
 
-#: Pivots, the count from which on one tells nothing, bits of the table of a batch's keys.
-PIVOTS, OVER, KEY_BITS = 128, 255, 2**26
+#: Pivots, the count from which on one tells nothing, most bits of the table of a batch's keys, edges up to which one task finds what is connected.
+PIVOTS, OVER, KEY_BITS, EDGES = 128, 255, 2**26, 2_000_000
 
 
 def item_of(platform: Column, native_id: Column, row_key: Column) -> Column:
@@ -91,17 +91,38 @@ def near_pairs(pairs: DataFrame, held: DataFrame, least: float) -> DataFrame:
     return sketch.exact(close, held, least).select("a", "b")
 
 
+def least_nodes(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, roots): each node of the edges u - v with the least that it is connected with."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    root, (u, v) = np.arange(len(nodes)), at.reshape(2, -1)
+    while len(u):
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (up := root[root] != root).any():
+            root[up] = root[root[up]]
+        u, v = root[u], root[v]
+        u, v = u[u != v], v[u != v]
+    return nodes, nodes[root]
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """(node, root): the least node that each node of the edges (u, v) is connected with. Alternating large-star and small-star steps, whose
-    number grows with the logarithm of the longest path; each step's edges are written to the shared folder. Raises if rounds don't do."""
+    """(node, root): the least node that each node of the edges (u, v) is connected with, where that is another one. Up to EDGES edges are one
+    task's. More take alternating large-star and small-star steps, whose number grows with the logarithm of the longest path, until so few are
+    left or nothing changes; each step's edges are written to the shared folder. Raises if rounds don't do."""
 
     def marked(df: DataFrame) -> tuple[DataFrame, dict]:
         mark = Observation()
         done = cut(df.observe(mark, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.xxhash64("u", "v") % 1000003).alias("s")))
         return done, mark.get
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = [(np.zeros(0, np.int64),) * 2, *((b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches)]
+        node, root = least_nodes(*(np.concatenate(x) for x in zip(*both, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(x[node != root]) for x in (node, root)], ["node", "root"])
+
     now, before = marked(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     for _ in range(rounds):
+        if before["n"] <= EDGES:
+            return cut(now.coalesce(1).mapInArrow(run, "node bigint, root bigint"))
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
         large = both.filter("u > v").join(low, "v").select("u", F.col("m").alias("v")).distinct()
@@ -207,7 +228,8 @@ class History:
         lists = sketch.long_lists(new, n)
         parts, both = [lambda *a: sketch.entries(new, a[0], lists, *a[1:])], fresh
         if old is not None:
-            wanted = self.spark.sparkContext.broadcast(bit_table(fresh, KEY_BITS))
+            # 32 bits a key, where KEY_BITS allow it
+            wanted = self.spark.sparkContext.broadcast(bit_table(fresh, min(KEY_BITS, 2 ** (32 * n * int(size) // sketch._KEY_BYTES + 2**16 - 1).bit_length())))
             stored = old.withColumn("old", F.lit(1).cast("byte"))
             parts.append(lambda *a: sketch.entries(stored, a[0], lists, *a[1:], wanted))
             both = both.unionByName(old)

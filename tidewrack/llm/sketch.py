@@ -15,7 +15,7 @@ leaves room for), and no filter but the sizes.
 
 Equal texts are one class throughout (a 64-bit digest), so copies cost nothing after the first step; each task drops repeats before the
 shuffle. Sketches are written once; their entries are packed by bucket of key into few rows and compared in WAVES parts of the keys one after
-the other, so that only a part of the entries is on disk at a time. No list is capped: one that a bounded sample of the texts shows to be
+the other, so that only a part of the entries is on disk at a time; up to AT_ONCE entries are one part. No list is capped: one that a bounded sample of the texts shows to be
 longer than LIST entries is split into cells, each a pair of parts of the list, over as many tasks.
 
 Null texts and normalised texts under min_chars are left out; an empty table gives no pairs; texts are read whole, however long; extra
@@ -45,8 +45,9 @@ BITS = SLOTS * ORDERS
 LEAST, DEVIATIONS = 0.6, 3.5
 #: Steps of the size of a set in an entry to a factor of e.
 _SIZE_STEPS = 16
-#: Parts in which the keys are compared; entries of a list from which on it is split, if a sample of SAMPLE texts shows it.
-WAVES, LIST, SAMPLE = 3, 16_384, 20_000
+#: Parts in which the keys are compared, entries up to which they are one part (100 MB); entries of a list from which on it is split, if a sample
+#: of SAMPLE texts shows it.
+WAVES, AT_ONCE, LIST, SAMPLE = 3, 2_000_000, 16_384, 20_000
 #: Texts hashed at once, entries of a bucket, pairs compared at once, and rows up to which the set of wanted texts is broadcast.
 _BATCH_CHARS, _BUCKET_ENTRIES, _PAIRS, _BROADCAST_ROWS = 2_000_000, 250_000, 2_000_000, 400_000
 _EMPTY = np.uint64(2**63)
@@ -330,17 +331,18 @@ def list_pairs(x: np.ndarray, filtered: bool = True) -> np.ndarray:
 def listed_pairs(parts: list, n: int, filtered: bool = True, keys: float = KEYS + 2) -> DataFrame:
     """(a, b): distinct pairs of the sketches that share a list and pass. parts: functions of (buckets, wave, waves) that give packed entries;
     n: about how many sketches there are."""
-    buckets = max(24 // WAVES, math.ceil(n * keys / WAVES / _BUCKET_ENTRIES))
+    waves = WAVES if n * keys > AT_ONCE else 1
+    buckets = max(24 // waves, math.ceil(n * keys / waves / _BUCKET_ENTRIES))
 
     def join(t: pa.Table) -> pa.Table:
         p = list_pairs(np.frombuffer(b"".join(t.column("entries").to_pylist()), ENTRY), filtered)
         return pa.table({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
 
     def one(wave: int) -> DataFrame:
-        packed = reduce(DataFrame.unionByName, [f(buckets, wave, WAVES) for f in parts])
+        packed = reduce(DataFrame.unionByName, [f(buckets, wave, waves) for f in parts])
         return cut(packed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(join, "a bigint, b bigint").distinct())
 
-    return reduce(DataFrame.unionByName, [one(wave) for wave in range(WAVES)]).distinct()
+    return reduce(DataFrame.unionByName, [one(wave) for wave in range(waves)]).distinct() if waves > 1 else one(0)
 
 
 def candidates(df: DataFrame, min_chars: int, exhaustive: float | None = None) -> DataFrame:
