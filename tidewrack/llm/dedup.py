@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewrack.llm import sketch
-from tidewrack.session import cut, spread
+from tidewrack.session import cut, let_go, spread
 
 #: Pivots, the count from which on one tells nothing, most bits of the table of a batch's keys, edges up to which one task finds what is connected.
 PIVOTS, OVER, KEY_BITS, EDGES = 128, 255, 2**26, 2_000_000
@@ -247,6 +247,7 @@ class History:
         refused = "row_id_a bigint, row_id_b bigint"
         if name in done:
             return self.spark.read.schema(refused).parquet(f"{self.path}/batches/{name}/refused")
+        let_go(self.spark)  # what the batch before has left
         came = self._write(name, "arrivals", arrivals(batch, self.min_chars))
         rows = came.select("row_id", "i", "id")
         ids = rows.select("id").filter("id IS NOT NULL").distinct()
@@ -308,6 +309,7 @@ def repeats(df: DataFrame, path: str, loads: list[tuple[int, int]], order: str =
     try:
         for low, high in loads:
             history.check(df.filter(F.col(order).between(low, high)))
+        let_go(df.sparkSession)
         return cut(history.refused())
     finally:
         history.drop()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -85,3 +86,10 @@ def cut(df: DataFrame) -> DataFrame:
         return df.select("*").checkpoint(eager=True)  # a new plan, for which the setting holds
     finally:
         spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Collects the driver's garbage. Spark gives up broadcasts, checkpoints and shuffle files of plans that nobody holds any more only then, and
+    the driver's heap shrinks only then; in a run of many short plans both would grow until it happens to collect all."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
